@@ -101,9 +101,9 @@ def route_template(path: Column) -> Column:
 
 def topic_regex(pattern: Column) -> Column:
     """Anchored regex of a topic pattern: ``*`` is one word, ``#`` any number of words."""
-    dotted = F.regexp_replace(pattern, r"\.", r"\\\\.")
-    head = F.regexp_replace(dotted, r"^#\\\.", r"([^.]+\\\\.)*")
-    tail = F.regexp_replace(head, r"\\\.#", r"(\\\\.[^.]+)*")
+    dotted = F.regexp_replace(pattern, r"\.", r"\\.")
+    head = F.regexp_replace(dotted, r"^#\\\.", r"([^.]+\\.)*")
+    tail = F.regexp_replace(head, r"\\\.#", r"(\\.[^.]+)*")
     words = F.regexp_replace(tail, r"^\*|(?<=\.)\*", r"[^.]+")
     return F.concat(F.lit("^"), F.regexp_replace(words, r"^#$", r".*"), F.lit("$"))
 

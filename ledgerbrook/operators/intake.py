@@ -60,7 +60,7 @@ def first_failure(rolled: DataFrame, products: DataFrame, position: str = "produ
     )
     return (
         failing.groupBy("request_id")
-        .agg(F.min(F.struct(position, "product_id", "code")).alias("_f"))
+        .agg(F.min(F.struct(F.col(position).alias("_place"), "product_id", "code")).alias("_f"))
         .select("request_id", "_f.product_id", "_f.code")
     )
 

@@ -42,7 +42,7 @@ def route(events: DataFrame, table: DataFrame) -> DataFrame:
     The bindings carry no broadcast hint: Spark broadcasts them by their size.
     """
     rules = table.select("queue", F.col("exchange").alias("_exchange"), topic_regex(F.col("pattern")).alias("_regex"))
-    met = (F.col("exchange") == F.col("_exchange")) & F.col("routing_key").rlike(F.col("_regex"))
+    met = (F.col("exchange") == F.col("_exchange")) & F.regexp_like("routing_key", F.col("_regex"))
     return events.join(rules, met).drop("_exchange", "_regex")
 
 

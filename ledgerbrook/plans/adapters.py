@@ -312,11 +312,11 @@ class Entities:
         steps = F.when(
             F.col("l_returnflag") == "R",
             F.array(
-                F.struct(F.col("o_orderdate").alias("at"), L(0).alias("kind"), quantity.alias("change")),
-                F.struct(F.col("l_shipdate").alias("at"), L(1).alias("kind"), (quantity * -2).alias("change")),
+                F.struct(F.col("o_orderdate").alias("changed_at"), L(0).alias("kind"), quantity.alias("change")),
+                F.struct(F.col("l_shipdate").alias("changed_at"), L(1).alias("kind"), (quantity * -2).alias("change")),
             ),
         ).otherwise(
-            F.array(F.struct(F.col("o_orderdate").alias("at"), L(0).alias("kind"), quantity.alias("change")))
+            F.array(F.struct(F.col("o_orderdate").alias("changed_at"), L(0).alias("kind"), quantity.alias("change")))
         )
         return lines.select(
             F.col("l_partkey").alias("product_id"),

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerbrook.functions.scalars import choose
 from ledgerbrook.operators import (
     access,
     admission,
@@ -34,6 +35,11 @@ def _plain(df: DataFrame) -> DataFrame:
     return df.withColumns({n: F.col(n).cast("timestamp_ntz") for n in zoned}) if zoned else df
 
 
+def _texts(df: DataFrame, *columns: str) -> DataFrame:
+    """Integer columns that may be null, as text: drivers disagree on how to carry them."""
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
+
+
 # sources and sinks
 
 
@@ -72,7 +78,8 @@ def scan_products(e: Entities) -> DataFrame:
 
 def parse_logs(e: Entities) -> DataFrame:
     lines = logs.render(e.log_records()).select("line")
-    return logs.parse(lines).select(*logs.BASE_KEYS, *logs.ALL_CONTEXT)
+    rows = logs.parse(lines).select(*logs.BASE_KEYS, *logs.ALL_CONTEXT)
+    return _texts(rows, "order_id", "product_id")
 
 
 def render_logs(e: Entities) -> DataFrame:
@@ -130,7 +137,7 @@ def validate_emails(e: Entities) -> DataFrame:
 
 
 def order_access(e: Entities) -> DataFrame:
-    return access.order_access(e.access_reads(), e.orders())
+    return _texts(access.order_access(e.access_reads(), e.orders()), "actor")
 
 
 def role_access(e: Entities) -> DataFrame:
@@ -192,7 +199,7 @@ def idempotent_replays(e: Entities) -> DataFrame:
 
 def dedupe_events(e: Entities) -> DataFrame:
     routed = routing.route(routing.addressed(e.envelopes()), routing.bindings(e.spark))
-    consumer = routing.choose(F.col("queue"), routing.CONSUMER_OF_QUEUE)
+    consumer = choose(F.col("queue"), routing.CONSUMER_OF_QUEUE)
     return dedupe.once_per_event(
         routed.select("event_id", *ARRIVAL, consumer.alias("consumer")), ARRIVAL, ["consumer"]
     ).select("consumer", "event_id", "seq", "attempt")
@@ -281,7 +288,7 @@ def business_counters(e: Entities) -> DataFrame:
 
 
 def red_grouping_sets(e: Entities) -> DataFrame:
-    return metrics.red_grouping_sets(e.request_log())
+    return _texts(metrics.red_grouping_sets(e.request_log()), "status")
 
 
 def avg_latency(e: Entities) -> DataFrame:
@@ -317,7 +324,7 @@ def order_status_guarded(e: Entities) -> DataFrame:
 
 
 def reserved_balance(e: Entities) -> DataFrame:
-    order = ["at", "order_id", "line", "supplier_id", "kind"]
+    order = ["changed_at", "order_id", "line", "supplier_id", "kind"]
     return inventory.reserved_balance(e.stock_changes(), order).select(
         "product_id", *order, "change", "reserved"
     )
@@ -346,7 +353,7 @@ def reserve_orders(e: Entities) -> DataFrame:
 
 
 def intake_outcomes(e: Entities) -> DataFrame:
-    return intake.take_orders(e.requests(), e.items(), e.gappy_products())
+    return _texts(intake.take_orders(e.requests(), e.items(), e.gappy_products()), "order_id")
 
 
 def status_transitions(e: Entities) -> DataFrame:
