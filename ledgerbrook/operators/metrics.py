@@ -194,16 +194,24 @@ def request_rate(
     Rows are counted per slide first; only those counts are spread over the
     ``width / slide`` windows they belong to.
     """
+    step = slide_seconds * MICROS
+    cell = F.timestamp_micros((F.floor(micros(F.col("ts")) / step) * step).cast("bigint")).alias("ts")
+    cells = log.groupBy(*labels, cell).agg(F.count(F.lit(1)).alias("n"))
+    return spread_cells(cells, width_seconds, slide_seconds, labels)
+
+
+def spread_cells(
+    cells: DataFrame, width_seconds: int, slide_seconds: int, labels: Sequence[str] = ()
+) -> DataFrame:
+    """Counts per slide (``ts``, ``n``) to rates per sliding window."""
     step, size = slide_seconds * MICROS, width_seconds * MICROS
-    cell = (F.floor(micros(F.col("ts")) / step) * step).alias("_cell")
-    cells = log.groupBy(*labels, cell).agg(F.count(F.lit(1)).alias("_n"))
     starts = F.transform(
-        F.sequence(F.lit(0), F.lit(width_seconds // slide_seconds - 1)), lambda i: F.col("_cell") - i * step
+        F.sequence(F.lit(0), F.lit(width_seconds // slide_seconds - 1)), lambda i: micros(F.col("ts")) - i * step
     )
     return (
-        cells.select(*labels, "_n", F.explode(starts).alias("_start"))
+        cells.select(*labels, "n", F.explode(starts).alias("_start"))
         .groupBy(*labels, "_start")
-        .agg(F.sum("_n").alias("n"))
+        .agg(F.sum("n").alias("n"))
         .select(
             *labels,
             F.timestamp_micros("_start").alias("window_start"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerbrook.functions.scalars import payment_status
 from ledgerbrook.sources.tables import scan
 
 SCHEMAS = {
@@ -333,6 +334,28 @@ class Entities:
             F.col("o_orderkey").alias("event_key"), F.col("o_orderdate").alias("arrival"), amount.alias("amount")
         )
 
+    def stock_events(self) -> DataFrame:
+        """OrderCreated with its items, and PaymentFailed an hour later where the charge is declined."""
+        lines = self.items().groupBy("request_id").agg(
+            F.collect_list(F.struct("product_id", "quantity")).alias("items")
+        )
+        orders = self.order_events().join(lines, F.col("event_key") == F.col("request_id"), "left")
+        created = orders.select(
+            F.concat(F.lit("created-"), F.col("event_key").cast("string")).alias("event_id"),
+            F.lit("OrderCreated").alias("event_type"),
+            F.col("arrival").alias("occurred_at"),
+            F.col("event_key").alias("order_id"),
+            "items",
+        )
+        failed = self.order_events().where(payment_status(F.col("amount")) == "FAILED").select(
+            F.concat(F.lit("failed-"), F.col("event_key").cast("string")).alias("event_id"),
+            F.lit("PaymentFailed").alias("event_type"),
+            (F.col("arrival") + F.expr("INTERVAL 1 HOUR")).alias("occurred_at"),
+            F.col("event_key").alias("order_id"),
+            F.lit(None).cast(created.schema["items"].dataType).alias("items"),
+        )
+        return created.unionByName(failed)
+
     def event_items(self, placed: bool = False) -> DataFrame:
         items = self.placed_items() if placed else self.items()
         arrivals = self.requests().select("request_id", "arrival")

@@ -101,7 +101,7 @@ ADAPTERS = {
         CAST(CAST(p.price AS DECIMAL(18,2)) * i.quantity AS DOUBLE) AS line_total
         FROM items i LEFT JOIN gappy p ON p.id = i.product_id""",
     "ledger": """SELECT row_number() OVER (ORDER BY occurred_at, seq, attempt) AS payment_id, event_id, seq,
-        correlation_id, order_id, amount,
+        correlation_id, order_id, amount, attempt,
         CASE WHEN amount <= 0 OR amount = 9999.0 THEN 'FAILED' ELSE 'COMPLETED' END AS status
         FROM once WHERE event_type = 'InventoryReserved' AND order_id <> 0""",
     "documents_of": """SELECT r.request_id AS id, customer_id,
@@ -440,13 +440,22 @@ BODIES = {
         FROM (SELECT unnest(range(min(epoch_us(ts)) // 60000000, max(epoch_us(ts)) // 60000000 + 1)) AS slot FROM log)
         LEFT JOIN (SELECT epoch_us(ts) // 60000000 AS slot, count(*) AS n FROM log
             WHERE regexp_full_match(CAST(status AS VARCHAR), '5..') GROUP BY 1) USING (slot)""",
+    "stream_dedupe": "SELECT event_id, seq, attempt, event_type, order_id FROM once",
+    "stream_order_status": "SELECT * FROM statuses",
+    "stream_payments": "SELECT seq, attempt, order_id, amount, status FROM ledger",
+    "stream_reservations": """SELECT unit AS order_id,
+        CASE WHEN coalesce(accepted, true) THEN 'InventoryReserved' ELSE 'InventoryRejected' END AS emitted
+        FROM charges LEFT JOIN verdicts USING (unit)""",
 }
+BODIES["stream_request_rate"] = BODIES["request_rate"]
+BODIES["stream_ttl_lookup"] = BODIES["asof_with_ttl"]
 
 # the admission behind a query, by the lines it runs on
 ADMISSIONS = {
     "admit_orders": "lines_admit",
     "reserve_orders": "lines_reserve",
     "saga_outcomes": "lines_saga",
+    "stream_reservations": "lines_saga",
     "intake_outcomes": "lines_intake",
     "business_counters": "lines_intake",
 }

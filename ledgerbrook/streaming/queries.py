@@ -1 +1,112 @@
-STREAMS = ()
+"""The streams as queries: the adapted tables arrive in slices, in order."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ledgerbrook.operators import metrics
+from ledgerbrook.plans.adapters import ARRIVAL, Entities
+from ledgerbrook.streaming import operators as ops
+from ledgerbrook.streaming.runtime import StreamRun, in_slices
+
+SLICES = 4
+# one slice of the tables spans up to a quarter of their month
+REMEMBER = "8 days"
+
+
+def _zoned(df: DataFrame) -> DataFrame:
+    """Watermarks need timestamps with a zone."""
+    plain = [name for name, kind in df.dtypes if kind == "timestamp_ntz"]
+    return df.withColumns({n: F.col(n).cast("timestamp") for n in plain})
+
+
+def _deliveries(e: Entities) -> list[DataFrame]:
+    """First deliveries in order, then all redeliveries."""
+    rows = _zoned(e.envelopes())
+    return [*in_slices(rows.where("attempt = 0"), "seq", SLICES), rows.where("attempt = 1")]
+
+
+def stream_dedupe(e: Entities) -> DataFrame:
+    run = StreamRun(e.spark, "dedupe")
+    columns = ["event_id", "seq", "attempt", "event_type", "order_id"]
+    run.replay(
+        _deliveries(e),
+        lambda events: ops.once_per_event(events, REMEMBER)
+        .select(*columns)
+        .writeStream.format("parquet")
+        .option("path", run.out),
+    )
+    return e.spark.read.schema(
+        "event_id string, seq bigint, attempt bigint, event_type string, order_id bigint"
+    ).parquet(run.out)
+
+
+def stream_order_status(e: Entities) -> DataFrame:
+    run = StreamRun(e.spark, "status")
+    run.replay(
+        _deliveries(e),
+        lambda events: ops.status_fold(events, ARRIVAL, REMEMBER)
+        .writeStream.outputMode("update")
+        .foreachBatch(run.keep),
+    )
+    return run.latest("order_id bigint, status string, n_changes bigint", ["order_id"])
+
+
+def stream_payments(e: Entities) -> DataFrame:
+    run = StreamRun(e.spark, "payments")
+    run.replay(
+        _deliveries(e),
+        lambda events: ops.payment_outcomes(events, remember=REMEMBER)
+        .select("seq", "attempt", "order_id", "amount", "status")
+        .writeStream.format("parquet")
+        .option("path", run.out),
+    )
+    return e.spark.read.schema(
+        "seq bigint, attempt bigint, order_id bigint, amount double, status string"
+    ).parquet(run.out)
+
+
+def stream_request_rate(e: Entities) -> DataFrame:
+    run = StreamRun(e.spark, "rate")
+    log = _zoned(e.request_log()).withColumn("_at", F.unix_seconds("ts"))
+    run.replay(
+        in_slices(log.select("ts", "_at"), "_at", SLICES),
+        lambda rows: ops.request_cells(rows, 5, REMEMBER).writeStream.outputMode("update").foreachBatch(run.keep),
+    )
+    return metrics.spread_cells(run.latest("ts timestamp, n bigint", ["ts"]), 60, 5)
+
+
+def stream_ttl_lookup(e: Entities) -> DataFrame:
+    run = StreamRun(e.spark, "lookup")
+    fills = e.versions().withColumn("kind", F.lit("version"))
+    asks = e.reads().withColumn("value", F.lit(None).cast("double")).withColumn("kind", F.lit("read"))
+    worker = ops.TtlLookup(run, 86_400)
+    run.replay(
+        in_slices(_zoned(fills.unionByName(asks)), "id", SLICES),
+        lambda rows: rows.writeStream.foreachBatch(worker),
+    )
+    return run.kept(worker.SERVED, "served").drop("batch")
+
+
+def stream_reservations(e: Entities) -> DataFrame:
+    """The stock worker over OrderCreated and PaymentFailed events, some delivered twice."""
+    run = StreamRun(e.spark, "stock")
+    worker = ops.StockWorker(run, e.stock())
+    events = _zoned(e.stock_events()).withColumn("_at", F.unix_seconds("occurred_at"))
+    again = events.where("order_id % 7 = 0").withColumn("occurred_at", F.col("occurred_at") + F.expr("INTERVAL 1 DAY"))
+    run.replay(
+        [*in_slices(events, "_at", SLICES), again],
+        lambda rows: ops.once_per_event(rows, "4000 days").writeStream.foreachBatch(worker),
+    )
+    return run.kept(worker.EMITTED, "emitted").where("emitted <> 'InventoryReleased'").drop("batch")
+
+
+STREAMS = (
+    stream_dedupe,
+    stream_order_status,
+    stream_payments,
+    stream_request_rate,
+    stream_ttl_lookup,
+    stream_reservations,
+)
