@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerbrook.functions.scalars import payment_status
+from ledgerbrook.operators.running import running
 from ledgerbrook.sources.tables import scan
 
 SCHEMAS = {
@@ -87,15 +88,16 @@ class Entities:
 
     def placed_items(self) -> DataFrame:
         """Items with their place in the payload; a separate adapter because the place costs a sort."""
-        window = F.expr(
-            "row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey)"
-        ).cast("bigint")
-        return self.table("lineitem").select(
+        lines = self.table("lineitem").select(
             F.col("l_orderkey").alias("request_id"),
-            window.alias("pos"),
+            "l_linenumber",
             F.col("l_partkey").alias("product_id"),
+            "l_suppkey",
             F.col("l_quantity").cast("bigint").alias("quantity"),
+            L(1).alias("_one"),
         )
+        placed = running(lines, ["request_id"], ["l_linenumber", "product_id", "l_suppkey"], {"pos": ("sum", "_one")})
+        return placed.select("request_id", "pos", "product_id", "quantity")
 
     def envelopes(self, redelivered: bool = True) -> DataFrame:
         kind = (
