@@ -96,7 +96,7 @@ def stream_reservations(e: Entities) -> DataFrame:
     events = _zoned(e.stock_events()).withColumn("_at", F.unix_seconds("occurred_at"))
     again = events.where("order_id % 7 = 0").withColumn("occurred_at", F.col("occurred_at") + F.expr("INTERVAL 1 DAY"))
     run.replay(
-        [*in_slices(events, "_at", SLICES), again],
+        [*in_slices(events, "_at", 2), again],
         lambda rows: ops.once_per_event(rows, "4000 days").writeStream.foreachBatch(worker),
     )
     return run.kept(worker.EMITTED, "emitted").where("emitted <> 'InventoryReleased'").drop("batch")
