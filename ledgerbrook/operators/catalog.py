@@ -69,14 +69,21 @@ def register_unique(registrations: DataFrame, users: DataFrame | None = None) ->
     )
 
 
+# fixed values: product and quantity of the first stock rows
+FIRST_STOCK = ((1, 100), (2, 50))
+
+
+def stock_rows(quantities: DataFrame) -> DataFrame:
+    """New stock rows (product_id, quantity) with nothing reserved."""
+    return quantities.select("product_id", "quantity", F.lit(0).cast("bigint").alias("reserved_quantity"))
+
+
 def seed_if_absent(inventory: DataFrame, seed: DataFrame) -> DataFrame:
     """Add a stock row, nothing reserved, for each seeded product that has none."""
-    new = (
-        first_per_key(seed, ["product_id"], ["quantity"])
-        .join(inventory.select("product_id"), "product_id", "left_anti")
-        .select("product_id", "quantity", F.lit(0).cast("bigint").alias("reserved_quantity"))
+    new = first_per_key(seed, ["product_id"], ["quantity"]).join(
+        inventory.select("product_id"), "product_id", "left_anti"
     )
-    return inventory.select("product_id", "quantity", "reserved_quantity").unionByName(new)
+    return inventory.select("product_id", "quantity", "reserved_quantity").unionByName(stock_rows(new))
 
 
 def asof_with_ttl(reads: DataFrame, versions: DataFrame, ttl_seconds: int, tie: str = "id") -> DataFrame:

@@ -156,7 +156,12 @@ class Entities:
         )
 
     def known_orders(self) -> DataFrame:
-        return self.envelopes(False).where("order_id < 1400").select("order_id").distinct()
+        """Orders that were created: the events of any other order are orphans."""
+        created = self.envelopes(False).where("event_type = 'OrderCreated'")
+        return created.select("order_id").distinct()
+
+    def named_orders(self) -> DataFrame:
+        return self.envelopes(False).select("order_id").distinct()
 
     def request_log(self) -> DataFrame:
         kind = F.col("event_type")
@@ -286,20 +291,24 @@ class Entities:
         )
 
     def deletes(self) -> DataFrame:
+        """Every product of the grown catalog, and as many ids that do not exist."""
         key = F.col("p_partkey")
-        ids = F.when(key % 50 == 0, F.array(key, key + 1_000_000)).otherwise(F.array(key))
-        return self.table("part").where(key % 5 == 0).select(F.explode(ids).alias("product_id"))
+        ids = F.array(key, key + L(1_000_000), key + L(2_000_000))
+        return self.table("part").select(F.explode(ids).alias("product_id"))
+
+    def grown_catalog(self) -> DataFrame:
+        """The products, and one new product each that no order line refers to."""
+        ids = F.array(F.col("id"), F.col("id") + L(1_000_000))
+        return self.products().withColumn("id", F.explode(ids))
 
     def references(self) -> DataFrame:
-        return self.table("lineitem").where("l_orderkey % 20 = 0").select(F.col("l_partkey").alias("product_id"))
+        return self.table("lineitem").select(F.col("l_partkey").alias("product_id"))
 
     def seed(self) -> DataFrame:
-        return self.table("part").where("p_partkey < 100").select(
-            F.col("p_partkey").alias("product_id"), L(100).alias("quantity")
-        )
+        return self.table("part").select(F.col("p_partkey").alias("product_id"), L(100).alias("quantity"))
 
     def reservations(self) -> DataFrame:
-        return self.table("lineitem").where("l_orderkey % 2 = 0").select(
+        return self.table("lineitem").select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_quantity").cast("bigint").alias("quantity"),

@@ -44,7 +44,7 @@ ADAPTERS = {
             AND event_type IN ('InventoryReserved', 'InventoryRejected', 'PaymentCompleted', 'PaymentFailed')""",
     "statuses": """SELECT order_id, arg_max(new_status, (occurred_at, seq, attempt)) AS status,
         count(*) AS n_changes FROM changes GROUP BY order_id""",
-    "known": "SELECT DISTINCT order_id FROM env WHERE order_id < 1400",
+    "known": "SELECT DISTINCT order_id FROM env WHERE event_type = 'OrderCreated'",
     "addressed": """SELECT *, CASE WHEN event_type = 'OrderCreated' THEN 'order-events'
             WHEN event_type LIKE 'Inventory%' THEN 'inventory-events'
             WHEN event_type LIKE 'Payment%' THEN 'payment-events' END AS exchange,
@@ -94,7 +94,7 @@ ADAPTERS = {
     "reservations": """SELECT l_orderkey AS order_id, l_partkey AS product_id,
         CAST(l_quantity AS BIGINT) AS quantity,
         CASE WHEN l_orderkey % 10 = 0 THEN 'RELEASED' ELSE 'RESERVED' END AS status
-        FROM lineitem WHERE l_orderkey % 2 = 0""",
+        FROM lineitem""",
     "held": """SELECT product_id, CAST(sum(quantity) AS BIGINT) AS reserved, count(*) AS n_reservations
         FROM reservations WHERE status = 'RESERVED' GROUP BY product_id""",
     "priced": """SELECT i.*, p.price AS unit_price, p.id IS NOT NULL AS found,
@@ -217,7 +217,7 @@ BODIES = {
         UNION ALL SELECT 'http_request_duration_seconds_sum{endpoint="' || endpoint || '",method="' || method
             || '"} ' || CAST(sum(CAST(duration_s AS DECIMAL(18,6))) AS VARCHAR) FROM log GROUP BY method, endpoint""",
     "seed_if_absent": """SELECT id AS product_id, quantity, CAST(0 AS BIGINT) AS reserved_quantity FROM gappy
-        UNION ALL SELECT id, 100, 0 FROM products WHERE id < 100 AND id NOT IN (SELECT id FROM gappy)""",
+        UNION ALL SELECT id, 100, 0 FROM products WHERE id NOT IN (SELECT id FROM gappy)""",
     "lookup_keys": """SELECT action_id, actor_id, id IS NOT NULL AS found, email
         FROM actions LEFT JOIN users ON id = actor_id""",
     "customer_public": "SELECT id, email, role FROM users",
@@ -297,11 +297,9 @@ BODIES = {
         CASE WHEN id % 6 = 0 THEN round(price * 1.2, 2) WHEN id % 3 = 0 THEN round(price * 1.1, 2) ELSE price END
             AS price,
         CASE WHEN id % 5 = 0 THEN 0 ELSE quantity END AS quantity, true AS updated FROM products""",
-    "delete_products": """SELECT product_id, CASE WHEN product_id NOT IN (SELECT id FROM products) THEN 'MISSING'
-            WHEN product_id IN (SELECT l_partkey FROM lineitem WHERE l_orderkey % 20 = 0) THEN 'BLOCKED'
-            ELSE 'DELETED' END AS outcome
-        FROM (SELECT p_partkey AS product_id FROM part WHERE p_partkey % 5 = 0
-            UNION ALL SELECT p_partkey + 1000000 FROM part WHERE p_partkey % 50 = 0)""",
+    "delete_products": """SELECT product_id, CASE WHEN shift = 2 THEN 'MISSING'
+            WHEN product_id IN (SELECT l_partkey FROM lineitem) THEN 'BLOCKED' ELSE 'DELETED' END AS outcome
+        FROM (SELECT p_partkey + shift * 1000000 AS product_id, shift FROM part, range(3) AS t(shift))""",
     "asof_with_ttl": """SELECT id, key, ts, hit, CASE WHEN hit THEN value END AS value,
         CASE WHEN hit THEN filled END AS filled_at
         FROM (SELECT r.event_id AS id, r.user_id AS key, r.ts, v.value, v.ts AS filled,
@@ -427,8 +425,8 @@ BODIES = {
         count(*) AS n_orders
         FROM (SELECT order_id, sum(quantity) AS q FROM reservations WHERE status = 'RESERVED' GROUP BY order_id)
         LEFT JOIN statuses USING (order_id) GROUP BY 1""",
-    "orders_without_event": """SELECT order_id FROM known WHERE order_id NOT IN
-        (SELECT order_id FROM env WHERE event_type = 'OrderCreated')""",
+    "orders_without_event": """SELECT DISTINCT order_id FROM env WHERE order_id NOT IN
+        (SELECT order_id FROM known)""",
     "request_rate": """SELECT window_start, window_start + INTERVAL 60 SECONDS AS window_end, count(*) AS n,
         round(count(*) / 60, 6) AS rate
         FROM (SELECT make_timestamp(epoch_us(ts) // 5000000 * 5000000 - i * 5000000) AS window_start

@@ -231,7 +231,7 @@ def apply_product_updates(e: Entities) -> DataFrame:
 
 
 def delete_products(e: Entities) -> DataFrame:
-    return catalog.judge_deletes(e.deletes(), e.products(), e.references())
+    return catalog.judge_deletes(e.deletes(), e.grown_catalog(), e.references())
 
 
 def asof_with_ttl(e: Entities) -> DataFrame:
@@ -414,7 +414,7 @@ def held_and_confirmed(e: Entities) -> DataFrame:
 
 
 def orders_without_event(e: Entities) -> DataFrame:
-    return intake.orders_without_event(e.known_orders(), e.envelopes(False)).select("order_id")
+    return intake.orders_without_event(e.named_orders(), e.envelopes(False)).select("order_id")
 
 
 def request_rate(e: Entities) -> DataFrame:

@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerbrook.functions import errors, scalars
+from ledgerbrook.functions.defaults import with_defaults
 from ledgerbrook.operators import access, catalog, dedupe, intake, inventory, logs, metrics, payments, routing, saga
 from ledgerbrook.operators import validation
-from ledgerbrook.sources import envelopes, tables
+from ledgerbrook.sources import envelopes, lines, samples, tables
 
 ORDER = ["at", "seq"]
 
@@ -319,9 +320,33 @@ def test_release(spark):
     ]
 
 
+def test_reservations_and_defaults(spark):
+    held = frame(spark, "order_id bigint, status string", (1, "RESERVED"), (1, "RELEASED"), (2, "RESERVED"))
+    one = frame(spark, "order_id bigint", (1,))
+    assert inventory.reservations_of(held, one).count() == 2
+    assert inventory.reservations_of(held, one, "RESERVED").count() == 1
+    rows = with_defaults(frame(spark, "id bigint, status string", (1, None), (2, "CONFIRMED")), "orders")
+    assert values(rows, "id", "status", "total_amount") == [(1, "PENDING", 0.0), (2, "CONFIRMED", 0.0)]
+    seed = frame(spark, "product_id bigint, quantity bigint", *catalog.FIRST_STOCK)
+    assert values(catalog.stock_rows(seed), "product_id", "quantity", "reserved_quantity") == [(1, 100, 0), (2, 50, 0)]
+
+
 # metrics and logs
 
 
+def test_samples_and_lines(spark, tmp_path):
+    rows = frame(spark, "s bigint, job string, metric string, labels map<string,string>, value double",
+                 (0, "api", "up", {"b": "2", "a": "1"}, 1.0), (5, "api", "up", {"a": "1", "b": "2"}, 0.0))
+    path = str(tmp_path / "samples")
+    rows.select(F.timestamp_seconds("s").alias("ts"), "job", "metric", "labels", "value").write.parquet(path)
+    named = samples.with_series(samples.read(spark, path))
+    assert {r["series"] for r in named.collect()} == {'api:up{a="1",b="2"}'}
+    assert metrics.latest_sample(named.withColumn("tie", F.lit(0))).first()["value"] == 0.0
+    lines.write(frame(spark, "line string", ("x 1.0",)), str(tmp_path / "lines"))
+    assert values(lines.read(spark, str(tmp_path / "lines")), "line") == [("x 1.0",)]
+
+
+
 def test_histogram_and_quantile(spark):
     log = frame(spark, "method string, endpoint string, duration_s double", *[("GET", "/", x / 100) for x in range(1, 101)],
                 ("GET", "/slow", 60.0))
