@@ -8,8 +8,9 @@ other keys take the plain window.
 
 Size bound of the two broadcast tables: a key is cut only when it holds more than
 ``max(rows_per_slice, total / MAX_HOT_KEYS)`` rows, so there are fewer than
-``MAX_HOT_KEYS`` such keys, and the slices of all of them together number fewer
-than ``(SPLIT + 1) * MAX_HOT_KEYS``, whatever the size of the input.
+``MAX_HOT_KEYS`` such keys. A key of n rows gets ``SPLIT * ceil(n / that)`` slices,
+so all of them together have fewer than ``2 * SPLIT * MAX_HOT_KEYS``, whatever the
+size of the input.
 """
 
 from __future__ import annotations

@@ -45,12 +45,15 @@ def shared_dir(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     path = spark.conf.get(CHECKPOINT_CONF, None) or context.getConf().get(CHECKPOINT_CONF, None)
+    named = context._jsc.sc().getCheckpointDir()
+    if not path and named.isDefined():
+        path = named.get()
     if not path:
         if not context.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
         path = tempfile.mkdtemp(prefix="ledgerbrook-")
         spark.conf.set(CHECKPOINT_CONF, path)
-    if context._jsc.sc().getCheckpointDir().isEmpty():
+    if named.isEmpty():
         context.setCheckpointDir(path)
     return path
 
