@@ -25,6 +25,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """The path of a public vocabulary file, installed alike on all machines."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once, also where ``body`` uses it inside lambdas."""
     return F.transform(F.array(value), body)[0]
@@ -41,6 +48,7 @@ def ranked(df: DataFrame, keys: list[Column], name: str = "_rank") -> DataFrame:
     Range partitions are cut over the whole key tuple, so a hot leading key still
     spreads. The sorted rows are written once; the positions come from the row
     numbers in that table and one offset per partition, so no task sees all rows.
+    The range sort looks at its input twice, so hand in what is cheap to read.
     """
     sorted_rows = keep(
         df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id()),
@@ -82,14 +90,16 @@ def components(edges: DataFrame) -> DataFrame:
         linked = met.select(F.col("v").alias("a"), F.col("m").alias("b"))
         return linked.union(met.select("u", "m")).where("a != b").distinct()
 
-    def state(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+    def stars_only(e: DataFrame) -> bool:
+        """Every node points once, and to a node that points nowhere."""
+        twice = e.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a")
+        inner = e.select(F.col("b").alias("a")).join(e.select("a"), "a", "left_semi")
+        return twice.union(inner).isEmpty()
 
-    current = keep(edges.select("a", "b").where("a != b").distinct(), "edges")
-    before, now = None, state(current)
-    while now[0] and now != before:
+    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    current = keep(down.where("a != b").distinct(), "edges")
+    while not stars_only(current):
         current = keep(small_star(large_star(current)), "edges")
-        before, now = now, state(current)
     root = current.select(F.col("b").alias("node")).distinct()
     return current.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         root.select("node", F.col("node").alias("root"))

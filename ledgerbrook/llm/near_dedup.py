@@ -10,11 +10,13 @@ a pair at 0.75 is lost by one tree with probability 1/9 at most, however deep, a
 by all six with about 2e-6. A node with one class, or whose classes are linked
 already, ends; a small one is compared exhaustively by sketch; a larger one
 branches on. What is still large at the greatest depth is compared exhaustively in
-blocks. Every candidate pair is confirmed on full sets.
+blocks, and so is what is left at any depth once the blocks have no more rows than
+there are classes. Every candidate pair is confirmed on full sets.
 
-Dense groups are folded first: in each node every class is tried against the
-smallest of the node, so a large group of copies is one component before any
-exhaustive comparison, and pairs inside it are never listed.
+Dense groups are folded first: in each node every class is tried against a pivot,
+the class of the smallest doc_id and then one by hash, so a large group of copies
+is one component, or few, before any exhaustive comparison, and pairs inside a
+component are never listed.
 
 Shingles and words are told apart by 64-bit hashes, classes by 128 bits. The
 sketch lets a linked pair pass unless 36 or more of 128 bits differ (16 expected
@@ -30,10 +32,11 @@ columns are ignored. An empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerbrook.llm.common import components, keep
@@ -44,9 +47,9 @@ TOKENS = 24
 SKETCH_BITS = 128
 SKETCH_DIFFERS = 35
 DEPTH = 8
-SMALL = 32
+SMALL = 1024
 
-SIGNATURE = "doc_id long, n_shingles long, cls binary, tokens array<long>, s0 long, s1 long"
+SIGNATURE = "doc_id long, text_key long, n_shingles long, cls binary, tokens array<long>, s0 long, s1 long"
 SETS = "cls binary, shingles binary"
 
 _CHUNK = 1 << 21
@@ -146,7 +149,7 @@ def _sign(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, cls, tokens, bits = [], [], [], []
-            for shingles in shingle_sets(batch.column(1), size):
+            for shingles in shingle_sets(batch.column(2), size):
                 n.append(len(shingles))
                 if not len(shingles):
                     cls.append(None), tokens.append(None), bits.append((None, None))
@@ -159,13 +162,14 @@ def _sign(size: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).cast(pa.int64()),
+                    batch.column(1),
                     pa.array(n, pa.int64()),
                     pa.array(cls, pa.binary()),
                     pa.array(tokens, pa.list_(pa.int64())),
                     pa.array([b[0] for b in bits], pa.int64()),
                     pa.array([b[1] for b in bits], pa.int64()),
                 ],
-                names=["doc_id", "n_shingles", "cls", "tokens", "s0", "s1"],
+                names=["doc_id", "text_key", "n_shingles", "cls", "tokens", "s0", "s1"],
             )
 
     return run
@@ -202,12 +206,18 @@ def _near(sketch_a: list[str], sketch_b: list[str]) -> Column:
     return differing <= SKETCH_DIFFERS
 
 
+def _text_key() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key")
+
+
 class _Join:
     """One run of the join: classes with tokens, and the linked pairs found so far."""
 
     def __init__(self, docs: DataFrame, size: int, percent: int) -> None:
         self.docs, self.size, self.percent = docs, size, percent
-        self.signed = keep(docs.select("doc_id", "text").mapInArrow(_sign(size), SIGNATURE), "signatures")
+        self.signed = keep(
+            docs.select("doc_id", _text_key(), "text").mapInArrow(_sign(size), SIGNATURE), "signatures"
+        )
         self.classes = keep(
             self.signed.where("n_shingles > 0")
             .groupBy("cls")
@@ -248,6 +258,14 @@ class _Join:
         nodes = F.array(*(F.xxhash64(F.lit(t), F.lit(p), F.col("tokens")[p]) for t, p in chosen))
         return self.classes.select(F.explode(nodes).alias("node"), "cls")
 
+    def stars(self, rows: DataFrame, grouped: DataFrame | None, pivot: Column) -> DataFrame:
+        """Pairs (a, b): each class of a node with the pivot, the least by ``pivot``, unless they are linked already."""
+        named = rows.join(self.classes.select("cls", "doc_id"), "cls")
+        named = _labelled(named, grouped) if grouped else named.withColumn("root", F.col("cls"))
+        centre = named.groupBy("node").agg(F.min(F.struct(pivot.alias("by"), F.struct("cls", "root").alias("at"))).alias("m"))
+        met = named.join(centre.select("node", F.col("m.at.cls").alias("a"), F.col("m.at.root").alias("other")), "node")
+        return met.where("root != other").select("a", F.col("cls").alias("b")).distinct()
+
     def children(self, rows: DataFrame) -> DataFrame:
         """The nodes that rows (node, cls) go to next: two tokens, chosen by the node."""
         one = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(TOKENS))
@@ -255,11 +273,11 @@ class _Join:
         below = F.array(*(F.xxhash64("node", p, F.element_at("tokens", (p + 1).cast("int"))) for p in (one, two)))
         return rows.join(self.classes.select("cls", "tokens"), "cls").select(F.explode(below).alias("node"), "cls").distinct()
 
-    def exhaustive(self, rows: DataFrame, keys: list[str]) -> DataFrame:
-        """Pairs of different components in each small node, by sketch."""
+    def exhaustive(self, rows: DataFrame) -> DataFrame:
+        """Pairs of different components in each cell (node, low, high), by sketch."""
         short = self.classes.select("cls", "n_shingles", "s0", "s1")
-        full = rows.join(short, "cls").select(*keys, "cls", "root", "n_shingles", "s0", "s1")
-        full = keep(full, "node-members")
+        keys = ["node", "low", "high"]
+        full = keep(rows.join(short, "cls").select(*keys, "cls", "root", "n_shingles", "s0", "s1"), "cells")
         a = full.toDF(*keys, "a", "root_a", "na", "a0", "a1")
         b = full.toDF(*keys, "b", "root_b", "nb", "b0", "b1")
         fits = 100 * F.least("na", "nb") >= self.percent * F.greatest("na", "nb")
@@ -273,11 +291,12 @@ def _blocks(rows: DataFrame) -> DataFrame:
     own = F.pmod(F.xxhash64("cls"), count).cast("int")
     other = F.explode(F.sequence(F.lit(0), count - 1))
     met = rows.withColumn("own", own).withColumn("other", other)
-    return met.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+    met = met.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+    return met.select("node", "low", "high", "cls", "root")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept, group_key.
+    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept, group_key, text_key.
 
     Documents whose shingle sets have ``100 * |intersection| >= percent * |union|``
     are linked. ``group_key`` names the group also where numbers are missing; it is
@@ -285,12 +304,17 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     """
     join = _Join(docs, size, percent)
     found = keep(join.roots(), "nodes")
-    stats = found.groupBy("node").agg(F.count("*").alias("n"), F.min("cls").alias("pivot")).where("n > 1")
-    found = keep(found.join(stats, "node"), "nodes")
-    stars = found.where("cls != pivot").select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct()
-    links = join.confirmed(join.sketched(stars))
-    grouped = components(links)
-    found, pairs = found.select("node", "cls"), None
+    # a node with one class leads nowhere
+    crowd = found.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
+    found = keep(found.join(crowd, "node"), "nodes")
+    links = grouped = None
+    for pivot in (F.struct("doc_id", "cls"), F.struct(F.xxhash64("node", "cls"), "cls")):
+        more = join.confirmed(join.sketched(join.stars(found, grouped, pivot)))
+        links = links.union(more) if links else more
+        grouped = components(links)
+    cells = []
+    # what may be compared exhaustively at once: as many rows as there are classes
+    room = join.classes.count()
     for depth in range(DEPTH):
         labelled = _labelled(found, grouped)
         stats = (
@@ -300,21 +324,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
             .select("node", "n")
         )
         labelled = keep(labelled.join(stats, "node"), "nodes")
-        small = join.exhaustive(labelled.where(F.col("n") <= SMALL), ["node"])
-        pairs = small if pairs is None else pairs.union(small)
         large = labelled.where(F.col("n") > SMALL)
-        if large.isEmpty():
+        cost = large.agg(F.sum(F.ceil(F.col("n") / SMALL))).first()[0] or 0
+        if cost <= room or depth == DEPTH - 1:
+            # one block is a small node; more are what is left of large ones
+            cells.append(_blocks(labelled))
             break
-        if depth == DEPTH - 1:
-            rest = keep(_blocks(large).select("node", "low", "high", "cls", "root"), "blocks")
-            pairs = pairs.union(join.exhaustive(rest, ["node", "low", "high"]))
-        else:
-            found = keep(join.children(large.select("node", "cls")), "nodes")
+        cells.append(_blocks(labelled.where(F.col("n") <= SMALL)))
+        found = keep(join.children(large.select("node", "cls")), "nodes")
+    pairs = join.exhaustive(reduce(DataFrame.union, cells))
     links = links.union(join.confirmed(pairs))
     groups = _labelled(join.classes.select("cls", "doc_id"), components(links))
     named = groups.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     by_class = groups.select("cls", "root").join(named, "root")
-    out = join.signed.select("doc_id", "n_shingles", "cls").join(by_class, "cls", "left")
+    out = join.signed.select("doc_id", "text_key", "n_shingles", "cls").join(by_class, "cls", "left")
     linked = F.col("n_shingles") > 0
     component = F.when(linked, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select(
@@ -323,7 +346,26 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
         F.col("root").alias("group_key"),
+        "text_key",
+    )
+
+
+def representatives(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
+    """The rows of ``docs`` that stay: one of each group, the smallest doc_id; all without words."""
+    found = near_duplicates(docs, size, percent)
+    # more than one kept row in a group only where rows repeat
+    first = F.row_number().over(Window.partitionBy("group_key").orderBy("text_key"))
+    ones = found.where("kept AND group_key IS NOT NULL").withColumn("_n", first).where("_n = 1")
+    bare = found.where("group_key IS NULL").distinct()
+    wanted = ones.select("doc_id", "text_key", F.lit(True).alias("_one")).unionByName(
+        bare.select("doc_id", "text_key", F.lit(False).alias("_one"))
     )
+    wanted = wanted.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
+    keyed = docs.withColumn("_own", _text_key())
+    met = keyed.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_own").eqNullSafe(F.col("_key")))
+    place = F.row_number().over(Window.partitionBy("doc_id", "_own").orderBy("text"))
+    # repeated rows meet one wanted row each: keep the first, unless they have no words
+    return met.withColumn("_place", place).where("_place = 1 OR NOT _one").select(*docs.columns)
 
 
 def _labelled(rows: DataFrame, grouped: DataFrame) -> DataFrame:

@@ -5,9 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerbrook.llm import near_dedup
-from ledgerbrook.llm.common import table
+from ledgerbrook.llm import (
+    ann,
+    fingerprints,
+    html_text,
+    mixing,
+    near_dedup,
+    packing,
+    secrets,
+    sharding,
+    toxicity,
+    warc,
+)
+from ledgerbrook.llm.common import table, vocabulary
 
 
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +27,54 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
-QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (op1_minhash_near_dedup,)
+def op2_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op7_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents")).drop("curve")
+
+
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
+    op1_minhash_near_dedup,
+    op2_warc_zstd,
+    op3_secret_scans,
+    op4_toxicity,
+    op5_html_extraction,
+    op6_nearest_neighbours,
+    op7_hilbert_sharding,
+    op8_order_minhash,
+    op9_source_mixing,
+    op10_packing,
+)
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
