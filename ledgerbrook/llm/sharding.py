@@ -99,9 +99,12 @@ def shard(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
     total = cuts["n"]
 
     def step(name: str) -> Column:
-        # the number of distinct cuts below: a value that fills many quantiles takes one step only
         found = sorted(set(cuts[name] or []))
-        return F.size(F.filter(F.array(*map(F.lit, found)), lambda c: c < F.col(name))) if found else F.lit(0)
+        if not found:
+            return F.lit(0)
+        below = F.size(F.filter(F.array(*map(F.lit, found)), lambda c: c < F.col(name)))
+        # few distinct values still spread over the whole side of the grid
+        return F.floor(below * (1 << bits) / (len(found) + 1)).cast("int")
 
     curve = hilbert_index([step(c) for c in names], bits)
     placed = rows.select("doc_id", "size", "text_crc32", "_text", curve.alias("curve"))

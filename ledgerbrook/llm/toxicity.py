@@ -3,7 +3,7 @@
 Texts are TF-IDF vectors over terms: words without the marks around them, and the
 first four and five letters of longer words, which carry what inflected forms
 share. The vocabulary holds the terms that speak most for the label by chi-squared
-among the labelled examples, their document frequencies are counted over all
+among the labelled examples (those with at least a tenth of the best value), their document frequencies are counted over all
 documents. Cosine is exact in that space.
 
 The examples (at most ``EXAMPLES``, the first by a hash of doc_id) are an inverted
@@ -40,6 +40,7 @@ from ledgerbrook.llm.common import keep
 EXAMPLES = 8000
 TERMS = 512
 LEAST_DF = 3
+LEAST_SHARE = 0.1
 NEAREST = 25
 BLOCK = 64
 THRESHOLD = 0.3
@@ -143,7 +144,9 @@ class Model:
         return best, rows
 
     def vote(self, best: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """The share of nearness that votes for the label."""
+        """The share of nearness that votes for the label; NaN where there is no example near."""
+        if not len(self.labels):
+            return np.full(len(best), np.nan)
         weight = np.where(rows >= 0, 1 / (1.05 - np.minimum(best, 1.0)), 0.0)
         for_it = (weight * np.where(rows >= 0, self.labels[rows], 0.0)).sum(axis=1)
         total = weight.sum(axis=1)
@@ -235,7 +238,10 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
     chosen = keep(rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples), "example-labels")
     texts = docs.select(F.col("doc_id").cast("long"), "text")
     # bounded by ``examples``
-    sample = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "toxic", "text")
+    sample = texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    # copies of a text would make all its words seem to speak for its label
+    sample = sample.groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
+    sample = sample.select("doc_id", "toxic", "text")
     sample = keep(sample, "examples")
     size = sample.agg(F.count("*"), F.sum("toxic")).first()
     n, n1 = size[0], size[1] or 0.0
@@ -245,8 +251,10 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
     lift = F.col("a") * n - F.col("df") * F.lit(n1)
     chi = lift * lift / (F.col("df") * (n - F.col("df")) + 1e-9)
     # bounded by ``terms``
-    best = counted.where((F.col("df") >= LEAST_DF) & (lift > 0)).orderBy(chi.desc(), "term").limit(terms).select("term").collect()
-    vocabulary = {row["term"]: i for i, row in enumerate(sorted(best))}
+    best = counted.where((F.col("df") >= LEAST_DF) & (lift > 0)).select("term", chi.alias("chi"))
+    best = best.orderBy(F.desc("chi"), "term").limit(terms).collect()
+    best = [row["term"] for row in best if row["chi"] >= LEAST_SHARE * best[0]["chi"]]
+    vocabulary = {term: i for i, term in enumerate(sorted(best))}
     df = np.zeros(len(vocabulary) + 1)
     spread = texts.select("text").mapInArrow(_frequencies(vocabulary), "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
     for row in spread.collect():
