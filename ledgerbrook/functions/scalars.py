@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -99,13 +101,21 @@ def route_template(path: Column) -> Column:
     return F.regexp_replace(path, r"/\d+", "/{id}")
 
 
-def topic_regex(pattern: Column) -> Column:
-    """Anchored regex of a topic pattern: ``*`` is one word, ``#`` any number of words."""
-    dotted = F.regexp_replace(pattern, r"\.", r"\\.")
-    head = F.regexp_replace(dotted, r"^#\\\.", r"([^.]+\\.)*")
-    tail = F.regexp_replace(head, r"\\\.#", r"(\\.[^.]+)*")
-    words = F.regexp_replace(tail, r"^\*|(?<=\.)\*", r"[^.]+")
-    return F.concat(F.lit("^"), F.regexp_replace(words, r"^#$", r".*"), F.lit("$"))
+def topic_regex(pattern: str) -> str:
+    """Anchored regex of a topic pattern: ``*`` is one word, ``#`` any number of words, also none."""
+    one, out, glued = r"[^.]*", "", True
+    words = pattern.split(".")
+    for i, word in enumerate(words):
+        if word == "#":
+            # takes its dot along: before the next word at the head, else behind the last one
+            if glued:
+                out += rf"(?:{one}(?:\.{one})*)?" if i == len(words) - 1 else rf"(?:{one}\.)*"
+            else:
+                out += rf"(?:\.{one})*"
+        else:
+            out += ("" if glued else r"\.") + (r"[^.]+" if word == "*" else re.escape(word))
+            glued = False
+    return f"^{out}$"
 
 
 def email_ok(email: Column) -> Column:

@@ -65,7 +65,9 @@ def histogram_quantile(histogram: DataFrame, q: float, labels: Sequence[str] = (
     upper = F.get("_h", F.col("_i"))
     lower = F.get("_h", F.col("_i") - 1)
     low_le, low_n = F.coalesce(lower.le, F.lit(0.0)), F.coalesce(lower.value, F.lit(0))
-    inside = low_le + (upper.le - low_le) * (F.col("_rank") - low_n) / (upper.value - low_n)
+    # rank 0 in an empty first bucket: its lower bound
+    share = F.try_divide(F.col("_rank") - low_n, upper.value - low_n)
+    inside = low_le + (upper.le - low_le) * F.coalesce(share, F.lit(0.0))
     return found.select(
         *labels, F.when(upper.le == float("inf"), low_le).otherwise(inside).alias("quantile_value")
     )

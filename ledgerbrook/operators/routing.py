@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerbrook.functions.scalars import exchange_of, routing_key_of, topic_regex
@@ -25,10 +27,6 @@ CONSUMER_OF_QUEUE = {
 }
 
 
-def bindings(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(BINDINGS, "queue string, exchange string, pattern string")
-
-
 def addressed(events: DataFrame) -> DataFrame:
     """Add the exchange and routing key an event is published with."""
     return events.withColumn("exchange", exchange_of(F.col("event_type"))).withColumn(
@@ -36,14 +34,17 @@ def addressed(events: DataFrame) -> DataFrame:
     )
 
 
-def route(events: DataFrame, table: DataFrame) -> DataFrame:
-    """One row per event and matching binding, with the ``queue``.
+def route(events: DataFrame, rules: Iterable[tuple[str, str, str]] = BINDINGS) -> DataFrame:
+    """One row per event and matching binding (queue, exchange, pattern), with the ``queue``.
 
-    The bindings carry no broadcast hint: Spark broadcasts them by their size.
+    Bindings are configuration, so they are literals of the plan: each event is
+    tested in place and nothing is shuffled.
     """
-    rules = table.select("queue", F.col("exchange").alias("_exchange"), topic_regex(F.col("pattern")).alias("_regex"))
-    met = (F.col("exchange") == F.col("_exchange")) & F.regexp_like("routing_key", F.col("_regex"))
-    return events.join(rules, met).drop("_exchange", "_regex")
+    tests = [
+        F.when((F.col("exchange") == exchange) & F.col("routing_key").rlike(topic_regex(pattern)), queue)
+        for queue, exchange, pattern in rules
+    ]
+    return events.select("*", F.explode(F.array_compact(F.array(*tests))).alias("queue"))
 
 
 def workflow_events(inventory_topic: DataFrame, payment_topic: DataFrame) -> DataFrame:

@@ -1,25 +1,30 @@
 """Running aggregates that hold when one key owns a large part of the rows.
 
 A plain ``Window.partitionBy(key)`` sends a whole key to one task. The functions
-here first count rows per key. A key above ``rows_per_slice`` is cut into slices
-along the order; its slices are windowed apart, each slice is summarised with an
-ordinary aggregate, and what the earlier slices add up to is joined back. All
-other keys take the plain window.
+here first count rows per key. The rows of keys above ``rows_per_slice`` are cut
+into slices by a range partitioning over key and whole order, so ties, bursts,
+outliers and nulls in the first order column split like everything else, and any
+type that can be ordered serves. Slices are windowed apart, each is summarised with
+an ordinary aggregate, and what the earlier slices add up to is joined back. All
+other keys take the plain window. The slices are written before they are used:
+range bounds come from a sample, and must not move between two reads.
 
 Size bound of the two broadcast tables: a key is cut only when it holds more than
 ``max(rows_per_slice, total / MAX_HOT_KEYS)`` rows, so there are fewer than
-``MAX_HOT_KEYS`` such keys. A key of n rows gets ``SPLIT * ceil(n / that)`` slices,
-so all of them together have fewer than ``2 * SPLIT * MAX_HOT_KEYS``, whatever the
+``MAX_HOT_KEYS`` such keys. Their rows go to ``SPLIT`` slices for each such number,
+so all slices together are fewer than ``(SPLIT + 2) * MAX_HOT_KEYS``, whatever the
 size of the input.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from ledgerbrook.session import cut_lineage
 
 ROWS_PER_SLICE = 1_000_000
 MAX_HOT_KEYS = 50_000
@@ -27,41 +32,35 @@ SPLIT = 4
 SLICE = "_slice"
 
 
-
-def position(df: DataFrame, column: str) -> Column:
-    """A number that grows with ``column`` (number, date or timestamp)."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, T.TimestampType):
-        return F.unix_seconds(column).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        day = F.datediff(F.to_date(column), F.lit("1970-01-01").cast("date")).cast("double")
-        return day * 86400 + F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
-    if isinstance(kind, T.DateType):
-        return F.datediff(F.col(column), F.lit("1970-01-01").cast("date")).cast("double")
-    return F.col(column).cast("double")
-
-
 def sliced(
-    df: DataFrame, keys: Sequence[str], along: str, rows_per_slice: int = ROWS_PER_SLICE
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
-    """Add ``_slice``: null for a key that fits one task, else a number growing with ``along``."""
-    keys = list(keys)
-    pos = position(df, along)
-    spans = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_lo"), F.max(pos).alias("_hi")
-    )
-    total = spans.agg((F.sum("_n") / MAX_HOT_KEYS).alias("_t")).scalar()
-    hot = spans.where((F.col("_n") > rows_per_slice) & (F.col("_n") > total)).select(
-        *[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)],
-        "_lo",
-        "_hi",
-        (F.ceil(F.col("_n") / F.greatest(F.lit(float(rows_per_slice)), total)) * SPLIT).alias("_k"),
-    )
-    match = F.lit(True)
-    for i, k in enumerate(keys):
-        match = match & F.col(k).eqNullSafe(F.col(f"_h{i}"))
-    where = F.floor((pos - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1) * F.col("_k"))
-    return df.join(F.broadcast(hot), match, "left").select(*df.columns, where.cast("bigint").alias(SLICE))
+    """Add ``_slice``: null for a key that fits one task, else a number growing along ``order``."""
+    keys, order = list(keys), list(order)
+    spans = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = spans.agg(F.sum("_n")).first()[0] or 0
+    most = max(rows_per_slice, total / MAX_HOT_KEYS)
+    none = df.withColumn(SLICE, F.lit(None).cast("bigint"))
+    if total <= most:
+        return none
+    hot = spans.where(F.col("_n") > most)
+    rows = hot.agg(F.sum("_n")).first()[0]
+    if not rows:
+        return none
+    if keys:
+        match = F.lit(True)
+        for i, k in enumerate(keys):
+            match = match & F.col(k).eqNullSafe(F.col(f"_h{i}"))
+        named = F.broadcast(hot.select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)]))
+        # one pass over the rows: the cold ones go on as they are
+        marked = df.join(named.withColumn("_hot", F.lit(True)), match, "left").select(*df.columns, "_hot")
+        cold = marked.where("_hot IS NULL").drop("_hot").withColumn(SLICE, F.lit(None).cast("bigint"))
+        warm = marked.where("_hot").drop("_hot")
+    else:
+        cold, warm = None, df
+    cut = warm.repartitionByRange(math.ceil(rows / most) * SPLIT, *keys, *order)
+    cut = cut_lineage(cut.withColumn(SLICE, F.spark_partition_id().cast("bigint")))
+    return cold.unionByName(cut) if cold is not None else cut
 
 
 def _inner(kind: str, column: str) -> Column:
@@ -101,7 +100,7 @@ def running(
     key. With ``inclusive=False`` the current row is left out.
     """
     keys, order = list(keys), list(order)
-    rows = sliced(df, keys, order[0], rows_per_slice)
+    rows = sliced(df, keys, order, rows_per_slice)
     return over_slices(rows, keys, order, outputs, inclusive).select(*df.columns, *outputs)
 
 

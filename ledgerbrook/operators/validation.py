@@ -52,11 +52,14 @@ def checked_requests(requests: DataFrame, items: DataFrame) -> DataFrame:
     Items are reduced to one row per request before they meet the requests.
     """
     facts = items.groupBy("request_id").agg(
-        F.count(F.lit(1)).alias("n_items"), F.min("quantity").alias("_least")
+        F.count(F.lit(1)).alias("n_items"),
+        F.min("quantity").alias("_least"),
+        F.count_if(F.col("product_id").isNull()).alias("_unnamed"),
     )
     code = (
         F.when(F.col("idempotency_key").isNull(), "MISSING_KEY")
         .when(F.col("n_items").isNull(), "NO_ITEMS")
+        .when(F.col("_unnamed") > 0, "NO_PRODUCT")
         .when(F.coalesce(F.col("_least"), F.lit(0)) <= 0, "BAD_QUANTITY")
     )
     return (
@@ -66,7 +69,7 @@ def checked_requests(requests: DataFrame, items: DataFrame) -> DataFrame:
         .withColumn(
             "status_code", F.when(F.col("error_code").isNull(), 201).otherwise(UNPROCESSABLE).cast("bigint")
         )
-        .drop("_least")
+        .drop("_least", "_unnamed")
     )
 
 

@@ -9,7 +9,7 @@ ADAPTERS = {
     "ev": "SELECT *, CAST(props->>'k' AS BIGINT) AS k FROM events",
     "products": """SELECT p_partkey AS id, p_name AS name, p_brand || ' ' || p_type AS description,
         p_retailprice AS price, CAST(p_size AS BIGINT) * 20 AS quantity FROM part""",
-    "gappy": "SELECT * FROM products WHERE id % 97 <> 96",
+    "gappy": "SELECT * REPLACE (CASE WHEN id % 97 = 96 THEN id + 1000000000 ELSE id END AS id) FROM products",
     "tight": "SELECT id, quantity / 20 AS quantity FROM gappy",
     "levels": "SELECT id AS product_id, quantity, id % 200 AS reserved_quantity FROM products",
     "drafts": """SELECT id, CASE WHEN id % 31 <> 30 THEN name END AS name, description, price - 950 AS price,

@@ -198,7 +198,7 @@ def idempotent_replays(e: Entities) -> DataFrame:
 
 
 def dedupe_events(e: Entities) -> DataFrame:
-    routed = routing.route(routing.addressed(e.envelopes()), routing.bindings(e.spark))
+    routed = routing.route(routing.addressed(e.envelopes()))
     consumer = choose(F.col("queue"), routing.CONSUMER_OF_QUEUE)
     return dedupe.once_per_event(
         routed.select("event_id", *ARRIVAL, consumer.alias("consumer")), ARRIVAL, ["consumer"]
@@ -217,7 +217,7 @@ def release_reservations(e: Entities) -> DataFrame:
 
 
 def route_events(e: Entities) -> DataFrame:
-    return routing.route(routing.addressed(e.envelopes()), routing.bindings(e.spark)).select(
+    return routing.route(routing.addressed(e.envelopes())).select(
         "queue", "routing_key", "seq", "attempt"
     )
 

@@ -1,14 +1,17 @@
 """Small cases with known results, by area."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerbrook.functions import errors, scalars
 from ledgerbrook.functions.defaults import with_defaults
+from ledgerbrook.functions.scalars import topic_regex
 from ledgerbrook.operators import access, catalog, dedupe, intake, inventory, logs, metrics, payments, routing, saga
 from ledgerbrook.operators import validation
+from ledgerbrook.plans.adapters import Entities
 from ledgerbrook.sources import envelopes, lines, samples, tables
 
 ORDER = ["at", "seq"]
@@ -246,8 +249,8 @@ def test_dedupe(spark):
 
 
 def test_routing(spark):
-    table = frame(spark, "queue string, exchange string, pattern string", ("one", "e", "a.*"), ("any", "e", "a.#"),
-                  ("tail", "e", "#.z"), ("all", "e", "#"), ("exact", "e", "a.b"), ("other", "f", "#"), ("mid", "e", "a.*.z"))
+    table = [("one", "e", "a.*"), ("any", "e", "a.#"), ("tail", "e", "#.z"), ("all", "e", "#"), ("exact", "e", "a.b"),
+             ("other", "f", "#"), ("mid", "e", "a.*.z")]
     rows = frame(spark, "exchange string, routing_key string", ("e", "a"), ("e", "a.b"), ("e", "a.b.z"), ("e", "axb"), ("e", "z"))
     assert values(routing.route(rows, table), "routing_key", "queue") == [
         ("a", "all"), ("a", "any"), ("a.b", "all"), ("a.b", "any"), ("a.b", "exact"), ("a.b", "one"),
@@ -256,6 +259,27 @@ def test_routing(spark):
     ]
 
 
+@pytest.mark.parametrize(
+    "pattern, yes, no",
+    [("#.*", ["a", "a.b", "a.b.c"], []), ("#.#", ["a", "a.b"], []), ("*.*", ["a.b"], ["a", "a.b.c"]),
+     ("a.#.b", ["a.b", "a.x.b", "a.x.y.b"], ["a", "ab", "a.bb"]), ("a.#", ["a", "a.b.c"], ["ab"]), ("#.b", ["b", "a.b"], ["ab"]),
+     ("a+.(b|c)", ["a+.(b|c)"], ["aa.b"]), ("#", ["", "a", "a.b"], []), ("a.*.#.d", ["a.b.d", "a.b.c.d"], ["a.d"])],
+)
+def test_topic_patterns(pattern, yes, no):
+    for keys, want in ((yes, True), (no, False)):
+        assert [bool(re.search(topic_regex(pattern), k)) for k in keys] == [want] * len(keys)
+
+
+def test_routing_needs_no_exchange(spark):
+    rows = routing.addressed(Entities(spark, "/root/testdata/sf0.001").envelopes())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        plan = routing.route(rows)._jdf.queryExecution().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan and "Join" not in plan
+
+
 def test_dispatch(spark):
     rows = frame(spark, "event_type string, routing_key string", ("PaymentFailed", None), ("X", "payment.failed"), (None, None))
     assert [r["handler"] for r in routing.dispatch(rows).collect()] == ["release", "release", "reserve"]

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerbrook.operators import inventory
@@ -56,10 +57,39 @@ def test_running(spark, per_slice):
 
 def test_only_hot_keys_are_cut(spark):
     df = spark.createDataFrame(_rows(1), "k bigint, t bigint, i bigint, v bigint")
-    cut = sliced(df, ["k"], "t", 100).groupBy("k").agg(F.countDistinct(SLICE).alias("n")).collect()
+    cut = sliced(df, ["k"], ["t", "i"], 100).groupBy("k").agg(F.countDistinct(SLICE).alias("n")).collect()
     assert {r["k"]: r["n"] > 0 for r in cut} == {0: True, 1: False, 2: False, None: False}
 
 
+SHAPES = {
+    "nulls": lambda rng, i: None if rng.random() < 0.3 else rng.randint(0, 50),
+    "ties": lambda rng, i: 7,
+    "outlier": lambda rng, i: 10**15 if i == 3 else i % 40,
+    "burst": lambda rng, i: 1_700_000_000_000_000 + i // 50,
+    "tiny": lambda rng, i: rng.random() / 1000,
+    "text": lambda rng, i: None if i % 9 == 0 else f"k{rng.randint(0, 60)}",
+}
+
+
+@pytest.mark.parametrize("shape", list(SHAPES))
+def test_any_order_at_any_slice_size(spark, shape):
+    """The sliced results equal a plain window, and a hot key splits whatever its order looks like."""
+    rng = random.Random(len(shape))
+    kind = {"tiny": "double", "text": "string"}.get(shape, "bigint")
+    rows = [(rng.choice([0, 0, 0, 0, 1, None]), SHAPES[shape](rng, i), i, rng.choice([None, rng.randint(-9, 9)])) for i in range(600)]
+    df = spark.createDataFrame(rows, f"k bigint, t {kind}, i bigint, v bigint")
+    upto = Window.partitionBy("k").orderBy("t", "i").rowsBetween(Window.unboundedPreceding, 0)
+    want = {r["i"]: (r["s"], r["m"], r["l"]) for r in df.select(
+        "i", F.coalesce(F.sum("v").over(upto), F.lit(0)).alias("s"), F.min("v").over(upto).alias("m"),
+        F.last("v", True).over(upto).alias("l")).collect()}
+    for per_slice in (1_000_000, 60, 10):
+        ran = running(df, ["k"], ["t", "i"], {"s": ("sum", "v"), "m": ("min", "v"), "l": ("last", "v")}, rows_per_slice=per_slice)
+        assert {r["i"]: (r["s"] or 0, r["m"], r["l"]) for r in ran.collect()} == want, per_slice
+        cut = sliced(df, ["k"], ["t", "i"], per_slice).where(f"{SLICE} IS NOT NULL")
+        most = cut.groupBy("k", SLICE).count().agg(F.max("count")).first()[0]
+        assert most is None or most <= 2 * per_slice, (per_slice, most)
+
+
 @pytest.mark.parametrize("per_slice", [1_000_000, 10])
 def test_numbered(spark, per_slice):
     df = spark.range(0, 500).withColumn("t", F.expr("cast(pmod(id * 7919, 101) as timestamp)"))
