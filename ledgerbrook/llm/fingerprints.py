@@ -22,6 +22,7 @@ ignored. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -32,7 +33,8 @@ from ledgerbrook.llm.common import keep, let, words
 K = 2
 SLOTS = 64
 WIDTH = 2
-RANGE_BYTES = 32 << 20
+RANGE_BYTES = 8 << 20
+MOST_RANGES = 50_000
 
 _POSITION = (1 << 24) - 1
 _NONE = "." * 8
@@ -133,6 +135,19 @@ def edited_text(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.length(text) - half), F.substring(following, F.lit(1), half))
 
 
+def _cuts_below(cuts: list[int], value: Column) -> Column:
+    """How many of the sorted ``cuts`` are less than ``value``, in two steps of about their square root each."""
+    if not cuts:
+        return F.lit(0)
+    width = math.isqrt(len(cuts) - 1) + 1
+    groups = [cuts[at : at + width] for at in range(0, len(cuts), width)]
+    heads = F.array(*(F.lit(g[0]) for g in groups))
+    inner = F.array(*(F.array(*map(F.lit, g)) for g in groups))
+    at = F.size(F.filter(heads, lambda c: c < value))
+    fine = let(at, lambda n: F.size(F.filter(F.get(inner, n - 1), lambda c: c < value)) + (n - 1) * width)
+    return F.when(at == 0, 0).otherwise(fine)
+
+
 def with_following(
     docs: DataFrame, derived: dict[str, Callable[[Column], Column]], range_bytes: int = RANGE_BYTES
 ) -> DataFrame:
@@ -141,10 +156,10 @@ def with_following(
     Next is by descending doc_id, the first after the last.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = max(2, min(10_000, int(size // range_bytes) + 1))
+    ranges = max(2, min(MOST_RANGES, int(size // range_bytes) + 1))
     shares = [k / ranges for k in range(1, ranges)]
     cuts = sorted(set(docs.agg(F.percentile_approx("doc_id", shares, 100_000)).first()[0] or []))
-    below = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("doc_id"))) if cuts else F.lit(0)
+    below = _cuts_below(cuts, F.col("doc_id"))
     # range 0 holds the largest numbers, null has its own range at the end
     place = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(F.lit(len(cuts)) - below)
     rows = docs.select("doc_id", "text", place.alias("_range"))
