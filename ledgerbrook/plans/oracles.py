@@ -197,7 +197,8 @@ BODIES = {
     "emit_order_created": """SELECT 'order-events' AS exchange, 'order.created' AS routing_key,
         '{"event_id":"order-' || id || '","event_type":"OrderCreated","occurred_at":"2024-01-01T00:00:00.000000+00:00",'
         || '"correlation_id":"corr-' || id || '","payload":{"order_id":' || id || ',"customer_id":' || customer_id
-        || ',"total_cents":' || total_cents || ',"items":' || short_items || '}}' AS body FROM documents_of""",
+        || ',"total_amount":' || CAST(total_cents / 100 AS DECIMAL(18,2)) || ',"items":' || short_items || '}}' AS body
+        FROM documents_of WHERE id IN (SELECT request_id FROM outcomes WHERE outcome = 'CREATED')""",
     "scan_products": "SELECT * FROM products",
     "parse_logs": """SELECT * EXCLUDE (seq) REPLACE (CAST(order_id AS VARCHAR) AS order_id,
         CAST(product_id AS VARCHAR) AS product_id) FROM records""",
@@ -443,8 +444,14 @@ BODIES = {
     "stream_payments": "SELECT seq, attempt, order_id, amount, status FROM ledger",
     "stream_reservations": """SELECT unit AS order_id,
         CASE WHEN coalesce(accepted, true) THEN 'InventoryReserved' ELSE 'InventoryRejected' END AS emitted
-        FROM charges LEFT JOIN verdicts USING (unit)""",
+        FROM charges LEFT JOIN verdicts USING (unit)
+        UNION ALL SELECT unit, 'InventoryReleased' FROM charges WHERE pay = 'FAILED'""",
 }
+BODIES["round_trip_events"] = """SELECT 'order-' || id AS event_id, 'OrderCreated' AS event_type, id AS order_id, customer_id,
+        CAST(CAST(total_cents / 100 AS DECIMAL(18,2)) AS DOUBLE) AS total_amount,
+        (SELECT count(*) FROM items i WHERE i.request_id = documents_of.id) AS n_items
+        FROM documents_of WHERE id IN (SELECT request_id FROM outcomes WHERE outcome = 'CREATED')"""
+BODIES["stream_late_events"] = BODIES["stream_dedupe"]
 BODIES["stream_request_rate"] = BODIES["request_rate"]
 BODIES["stream_ttl_lookup"] = BODIES["asof_with_ttl"]
 
@@ -456,6 +463,8 @@ ADMISSIONS = {
     "stream_reservations": "lines_saga",
     "intake_outcomes": "lines_intake",
     "business_counters": "lines_intake",
+    "emit_order_created": "lines_intake",
+    "round_trip_events": "lines_intake",
 }
 
 

@@ -55,7 +55,10 @@ def quarantine_counts(e: Entities) -> DataFrame:
 
 
 def emit_order_created(e: Entities) -> DataFrame:
-    docs = intake.order_documents(e.requests(), e.placed_items(), e.products()).withColumns(
+    """Sent after the order is made: created orders only."""
+    made = intake.take_orders(e.requests(), e.items(), e.gappy_products()).where("outcome = 'CREATED'")
+    docs = intake.order_documents(e.requests(), e.placed_items(), e.products())
+    docs = docs.join(made.select(F.col("request_id").alias("id")), "id").withColumns(
         {
             "event_type": F.lit("OrderCreated"),
             "event_id": F.concat(F.lit("order-"), F.col("id").cast("string")),
@@ -67,11 +70,23 @@ def emit_order_created(e: Entities) -> DataFrame:
         "items", lambda x: F.struct(x.product_id.alias("product_id"), x.quantity.alias("quantity"))
     )
     payload = F.struct(
-        F.col("id").alias("order_id"), "customer_id", F.col("total_cents").alias("total_cents"), items.alias("items")
+        F.col("id").alias("order_id"),
+        "customer_id",
+        (F.col("total_cents") / 100).cast("decimal(18,2)").alias("total_amount"),
+        items.alias("items"),
     )
     return envelopes.published(docs, payload)
 
 
+def round_trip_events(e: Entities) -> DataFrame:
+    """The bodies sent for created orders, read back by the parser of the next stage."""
+    rows = envelopes.good(envelopes.parse(emit_order_created(e).select("body")))
+    return rows.select(
+        "event_id", "event_type", "order_id", "payload.customer_id", "payload.total_amount",
+        F.size("payload.items").cast("bigint").alias("n_items"),
+    )
+
+
 def scan_products(e: Entities) -> DataFrame:
     return e.products()
 
@@ -430,7 +445,7 @@ def error_rate_zero_filled(e: Entities) -> DataFrame:
 
 
 BATCH: tuple[Query, ...] = (
-    parse_envelopes, quarantine_counts, emit_order_created, scan_products, parse_logs, render_logs,
+    parse_envelopes, quarantine_counts, emit_order_created, round_trip_events, scan_products, parse_logs, render_logs,
     metrics_snapshot, seed_if_absent,
     lookup_keys, customer_public, validate_products, validate_requests, validate_emails, order_access,
     role_access, trace_defaults, log_severity, order_errors, dispatch_inventory,

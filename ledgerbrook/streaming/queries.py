@@ -11,8 +11,6 @@ from ledgerbrook.streaming import operators as ops
 from ledgerbrook.streaming.runtime import StreamRun, in_slices
 
 SLICES = 4
-# one slice of the tables spans up to a quarter of their month
-REMEMBER = "8 days"
 
 
 def _zoned(df: DataFrame) -> DataFrame:
@@ -27,12 +25,26 @@ def _deliveries(e: Entities) -> list[DataFrame]:
     return [*in_slices(rows.where("attempt = 0"), "seq", SLICES), rows.where("attempt = 1")]
 
 
+def _late_deliveries(e: Entities) -> list[DataFrame]:
+    """The same with the newest slice first: first deliveries weeks behind what has been seen."""
+    *firsts, again = _deliveries(e)
+    return [*reversed(firsts), again]
+
+
 def stream_dedupe(e: Entities) -> DataFrame:
+    return _dedupe(e, _deliveries(e))
+
+
+def stream_late_events(e: Entities) -> DataFrame:
+    return _dedupe(e, _late_deliveries(e))
+
+
+def _dedupe(e: Entities, deliveries: list[DataFrame]) -> DataFrame:
     run = StreamRun(e.spark, "dedupe")
     columns = ["event_id", "seq", "attempt", "event_type", "order_id"]
     run.replay(
-        _deliveries(e),
-        lambda events: ops.once_per_event(events, REMEMBER)
+        deliveries,
+        lambda events: ops.once_per_event(events)
         .select(*columns)
         .writeStream.format("parquet")
         .option("path", run.out),
@@ -46,7 +58,7 @@ def stream_order_status(e: Entities) -> DataFrame:
     run = StreamRun(e.spark, "status")
     run.replay(
         _deliveries(e),
-        lambda events: ops.status_fold(events, ARRIVAL, REMEMBER)
+        lambda events: ops.status_fold(events, ARRIVAL)
         .writeStream.outputMode("update")
         .foreachBatch(run.keep),
     )
@@ -57,7 +69,7 @@ def stream_payments(e: Entities) -> DataFrame:
     run = StreamRun(e.spark, "payments")
     run.replay(
         _deliveries(e),
-        lambda events: ops.payment_outcomes(events, remember=REMEMBER)
+        lambda events: ops.payment_outcomes(events)
         .select("seq", "attempt", "order_id", "amount", "status")
         .writeStream.format("parquet")
         .option("path", run.out),
@@ -72,7 +84,7 @@ def stream_request_rate(e: Entities) -> DataFrame:
     log = _zoned(e.request_log()).withColumn("_at", F.unix_seconds("ts"))
     run.replay(
         in_slices(log.select("ts", "_at"), "_at", SLICES),
-        lambda rows: ops.request_cells(rows, 5, REMEMBER).writeStream.outputMode("update").foreachBatch(run.keep),
+        lambda rows: ops.request_cells(rows, 5).writeStream.outputMode("update").foreachBatch(run.keep),
     )
     return metrics.spread_cells(run.latest("ts timestamp, n bigint", ["ts"]), 60, 5)
 
@@ -97,13 +109,14 @@ def stream_reservations(e: Entities) -> DataFrame:
     again = events.where("order_id % 7 = 0").withColumn("occurred_at", F.col("occurred_at") + F.expr("INTERVAL 1 DAY"))
     run.replay(
         [*in_slices(events, "_at", 2), again],
-        lambda rows: ops.once_per_event(rows, "4000 days").writeStream.foreachBatch(worker),
+        lambda rows: ops.once_per_event(rows).writeStream.foreachBatch(worker),
     )
-    return run.kept(worker.EMITTED, "emitted").where("emitted <> 'InventoryReleased'").drop("batch")
+    return run.kept(worker.EMITTED, "emitted").drop("batch")
 
 
 STREAMS = (
     stream_dedupe,
+    stream_late_events,
     stream_order_status,
     stream_payments,
     stream_request_rate,
