@@ -70,6 +70,7 @@ FOOT = (
 )
 BODY = (
     "<p>{p}</p><p>{p}</p><p>{s}</p>",
+    "<p>{s}.</p><p>{w}.</p><p>{s}, {s}.</p><p>{p}</p>",
     "<h2>{s}</h2><p>{p}</p><p>{w}.</p><p>{p}</p>",
     "<p>{p} <a href='/r'>{s}</a> {p}</p><blockquote><p>{p}</p></blockquote>",
     "<ul><li>{p}</li><li>{s}</li></ul><p>{p}</p>",
@@ -124,7 +125,7 @@ def pages() -> Iterator[str]:
     for frame in FRAME:
         for _ in range(PAGES_PER_FRAME):
             body = "".join(rng.choice(BODY) for _ in range(rng.randint(1, 4)))
-            inner = "".join(none(parts) for parts in (SIDE, ADVERT, COMMENTS) if rng.random() < 0.4)
+            inner = "".join(none(parts) for parts in (NOTICE, SIDE, FORM, ADVERT, COMMENTS) if rng.random() < 0.4)
             middle = frame.replace("{body}", body).replace("{inner}", inner)
             before = none(TOP) + none(NOTICE) + none(ADVERT)
             after = none(COMMENTS) + none(SIDE) + none(FORM) + none(FOOT)

@@ -1,8 +1,8 @@
 """Main text of web pages by a tree-structured graphical model.
 
 The block elements of a page form a tree. Each is content or not: what it shows
-(tag, words of its class, id and role, share of text in links, length of its own
-text) depends on its own state, and its state on that of its parent. Sum-product
+(words of its class, id and role, share of text in links, length of its own text)
+depends on its own state, and its state on that of its parent, by tag. Sum-product
 message passing, upward from the leaves and downward from the root, gives the
 marginal of every element exactly; blocks of text whose element is content by it
 are the text. The tables of the model are log counts over labelled pages: the
@@ -173,7 +173,7 @@ def looks(node: Node) -> list[str]:
     share = node.linked / node.length if node.length else -1.0
     link = "none" if share < 0 else "0" if share == 0 else "low" if share < 0.3 else "mid" if share < 0.7 else "high"
     own = "0" if not node.own else "s" if node.own < 40 else "m" if node.own < 160 else "l"
-    return [f"tag={node.tag}", f"link={link}", f"own={own}", *(f"hint={h}" for h in sorted(node.hints)[:12])]
+    return [f"link={link}", f"own={own}", *(f"hint={h}" for h in sorted(node.hints)[:12])]
 
 
 def label_by_landmarks(page: Page) -> bool:
@@ -208,12 +208,14 @@ def counts(page: Page) -> Counter:
         for name in looks(node):
             out["look", name, state] += 1
         if node.parent is not None:
-            out["edge", str(int(node.parent.label)), state] += 1
+            above = int(node.parent.label)
+            out["edge", str(above), state] += 1
+            out["edge", f"{above}{node.tag}", state] += 1
     return out
 
 
 class Model:
-    """Log potentials: of each observation by state, and of each state by that of the parent."""
+    """Log potentials: of each observation by state, and of each state by that of the parent and the own tag."""
 
     def __init__(self, found: Counter) -> None:
         total = [found["state", "", s] for s in (0, 1)]
@@ -221,22 +223,26 @@ class Model:
         self.looks = {
             n: tuple(math.log((found["look", n, s] + SMOOTHING) / (total[s] + 2 * SMOOTHING)) for s in (0, 1)) for n in names
         }
-        self.edges = [
-            [
-                math.log(
-                    (found["edge", str(p), s] + SMOOTHING)
-                    / (found["edge", str(p), 0] + found["edge", str(p), 1] + 2 * SMOOTHING)
-                )
-                for s in (0, 1)
-            ]
-            for p in (0, 1)
-        ]
+
+        def share(name: str, state: int, prior: float) -> float:
+            n = [found["edge", name, s] for s in (0, 1)]
+            return (n[state] + 2 * prior) / (sum(n) + 2)
+
+        plain = [[share(str(p), s, 0.5) for s in (0, 1)] for p in (0, 1)]
+        tags = {name[1:] for kind, name, _ in found if kind == "edge"}
+        # a tag without counts of its own takes those of all tags
+        self.edges = {
+            t: [[math.log(share(f"{p}{t}", s, plain[p][s])) for s in (0, 1)] for p in (0, 1)] for t in tags
+        }
+        self.edges[""] = [[math.log(plain[p][s]) for s in (0, 1)] for p in (0, 1)]
+
+    def edge(self, node: Node) -> list[list[float]]:
+        return self.edges.get(node.tag) or self.edges[""]
 
     def marginals(self, page: Page) -> dict[Node, float]:
         """The probability of being content of every node."""
         up: dict[Node, list[float]] = {}
         sent: dict[Node, list[float]] = {}
-        e = self.edges
         # the page itself is no content; what it holds may be
         for node in page.nodes:
             seen = [self.looks[n] for n in looks(node) if n in self.looks]
@@ -244,7 +250,7 @@ class Model:
         up[page.root][1] -= 50.0
         for node in reversed(page.nodes):
             if node.parent is not None:
-                own = up[node]
+                own, e = up[node], self.edge(node)
                 sent[node] = message = [_log_sum(e[p][0] + own[0], e[p][1] + own[1]) for p in (0, 1)]
                 above = up[node.parent]
                 above[0] += message[0]
@@ -253,7 +259,7 @@ class Model:
         out: dict[Node, float] = {}
         for node in page.nodes:
             if node.parent is not None:
-                above, back, from_up = up[node.parent], sent[node], down[node.parent]
+                above, back, from_up, e = up[node.parent], sent[node], down[node.parent], self.edge(node)
                 rest = [above[p] + from_up[p] - back[p] for p in (0, 1)]
                 down[node] = [_log_sum(rest[0] + e[0][s], rest[1] + e[1][s]) for s in (0, 1)]
             belief = [up[node][s] + down[node][s] for s in (0, 1)]

@@ -207,9 +207,10 @@ def _write(folder: str, dictionary: bytes, archive_bytes: int):
         for batch in batches:
             for row in batch.to_pylist():
                 if out is None:
-                    # the attempt is part of the name: no two attempts share a file
+                    # the attempt is part of the name: no two attempts share a file; the
+                    # frames are made here, so the store must not compress by the name
                     name = f"{task.partitionId():06d}-{task.taskAttemptId()}-{len(done):04d}.warc.zst"
-                    out, count, size = store.open_output_stream(f"{place}/{name}"), 0, 0
+                    out, count, size = store.open_output_stream(f"{place}/{name}", compression=None), 0, 0
                     if dictionary:
                         out.write(dictionary_frame(dictionary))
                 payload = (row["html"] or "").encode()
@@ -258,7 +259,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path in batch.column(0).to_pylist():
             store, place = _store(path)
-            with store.open_input_stream(place) as stream:
+            with store.open_input_stream(place, compression=None) as stream:
                 data = stream.read()
             held: list[dict] = []
             try:

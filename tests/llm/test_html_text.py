@@ -22,7 +22,7 @@ def test_marginals_are_exact():
         for n in nodes:
             log += sum(MODEL.looks[x][of[n]] for x in html_text.looks(n) if x in MODEL.looks)
             if n.parent is not None:
-                log += MODEL.edges[of[n.parent]][of[n]]
+                log += MODEL.edge(n)[of[n.parent]][of[n]]
         total += math.exp(log)
         for n in nodes:
             weight[n] += math.exp(log) * of[n]
