@@ -53,8 +53,8 @@ def test_held_out_accuracy_and_no_leak(spark):
 
 
 def test_odd_rows(spark):
-    rows = [(i, "you total idiot scum" if i % 3 == 0 else "a calm and useful note", "x", 0.5) for i in range(60)]
-    rows += [(100, None, "x", 0.1), (101, "", "x", 0.1), (102, "idiot " * 20000, "x", 0.1), (0, "you total idiot scum", "x", 0.1), (None, "IDIOT!", "x", 0.1)]
+    rows = [(i, f"you total idiot scum {i}" if i % 3 == 0 else f"a calm and useful note {i}", "x", 0.5) for i in range(60)]
+    rows += [(100, None, "x", 0.1), (101, "", "x", 0.1), (102, "idiot " * 20000, "x", 0.1), (0, "you total idiot scum 0", "x", 0.1), (None, "IDIOT!", "x", 0.1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, evidence string, score double")
     labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)] + [(0, 1), (3, None), (None, 1)], "doc_id long, toxic int")
     out = toxicity.report(docs, labels).collect()
