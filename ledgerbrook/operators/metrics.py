@@ -224,6 +224,33 @@ def spread_cells(
     )
 
 
+def sliding_red(
+    log: DataFrame, width_seconds: int = 60, slide_seconds: int = 5, labels: Sequence[str] = ()
+) -> DataFrame:
+    """Request rate, rate of 5xx answers and mean duration over the same sliding windows, in one pass.
+
+    As in ``request_rate`` rows are summed up per slide before they are spread.
+    """
+    step, size = slide_seconds * MICROS, width_seconds * MICROS
+    start = (F.floor(micros(F.col("ts")) / step) * step).cast("bigint")
+    cells = log.groupBy(*labels, start.alias("_at")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("status").between(500, 599)).alias("n_errors"),
+        F.sum(F.col("duration_s").cast("decimal(18,6)")).alias("_spent"),
+    )
+    starts = F.transform(F.sequence(F.lit(0), F.lit(width_seconds // slide_seconds - 1)), lambda i: F.col("_at") - i * step)
+    spread = cells.select(*labels, "n", "n_errors", "_spent", F.explode(starts).alias("_start"))
+    summed = spread.groupBy(*labels, "_start").agg(*[F.sum(c).alias(c) for c in ("n", "n_errors", "_spent")])
+    return summed.select(
+        *labels,
+        F.timestamp_micros("_start").alias("window_start"),
+        F.timestamp_micros(F.col("_start") + size).alias("window_end"),
+        F.round(F.col("n") / width_seconds, 6).alias("rate"),
+        F.round(F.col("n_errors") / width_seconds, 6).alias("error_rate"),
+        F.round(F.col("_spent").cast("double") / F.col("n"), 6).alias("mean_duration_s"),
+    )
+
+
 def recent_window(log: DataFrame, span: str = "INTERVAL 15 MINUTES") -> DataFrame:
     """Rows younger than ``span`` before the newest row.
 

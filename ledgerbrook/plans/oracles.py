@@ -451,6 +451,31 @@ BODIES["round_trip_events"] = """SELECT 'order-' || id AS event_id, 'OrderCreate
         CAST(CAST(total_cents / 100 AS DECIMAL(18,2)) AS DOUBLE) AS total_amount,
         (SELECT count(*) FROM items i WHERE i.request_id = documents_of.id) AS n_items
         FROM documents_of WHERE id IN (SELECT request_id FROM outcomes WHERE outcome = 'CREATED')"""
+SLIDES = "make_timestamp(epoch_us(ts) // 5000000 * 5000000 - i * 5000000) AS window_start"
+for _name, _labels in (("endpoint", "method, endpoint"), ("status", "status")):
+    BODIES[f"request_rate_by_{_name}"] = f"""SELECT {_labels}, window_start,
+        window_start + INTERVAL 60 SECONDS AS window_end, count(*) AS n, round(count(*) / 60, 6) AS rate
+        FROM (SELECT {_labels}, {SLIDES} FROM log, range(12) AS t(i)) GROUP BY ALL"""
+BODIES |= {
+    "sliding_red": f"""SELECT service, window_start, window_start + INTERVAL 60 SECONDS AS window_end,
+        round(count(*) / 60, 6) AS rate, round(count(*) FILTER (status BETWEEN 500 AND 599) / 60, 6) AS error_rate,
+        round(CAST(sum(CAST(duration_s AS DECIMAL(18,6))) AS DOUBLE) / count(*), 6) AS mean_duration_s
+        FROM (SELECT service, status, duration_s, {SLIDES} FROM log, range(12) AS t(i)) GROUP BY service, window_start""",
+    "family_histogram": """SELECT service, method, endpoint, le,
+        count(*) FILTER (duration_s <= CAST(bound AS DOUBLE)) AS value, count(*) AS count,
+        CAST(sum(CAST(duration_s AS DECIMAL(18,6))) AS DOUBLE) AS sum
+        FROM log, buckets GROUP BY service, method, endpoint, le""",
+    "partial_updates": """SELECT id, faults, CAST(CASE WHEN faults = '' THEN 200 ELSE 422 END AS BIGINT) AS status_code
+        FROM (SELECT p_partkey AS id, concat_ws(',',
+                CASE WHEN p_partkey % 3 <> 0 AND p_retailprice - 950 <= 0 THEN 'price' END,
+                CASE WHEN p_partkey % 4 <> 0 AND CAST(p_size AS BIGINT) * 20 - 100 < 0 THEN 'quantity' END) AS faults FROM part)""",
+    "user_defaults": "SELECT id, CASE WHEN id % 5 <> 0 THEN role ELSE 'customer' END AS role FROM users",
+    "request_durations": "SELECT request_id, round(duration_s * 1000, 2) AS duration_ms FROM log",
+    "append_products": "SELECT * FROM products",
+    "scraped_series": """SELECT ts, 'order-service:events_total{day="' || strftime(ts, '%Y-%m-%d') || '",type="' || event_type
+        || '"}' AS series, CAST(count(*) OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts, event_id
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS value FROM events""",
+}
 BODIES["stream_late_events"] = BODIES["stream_dedupe"]
 BODIES["stream_request_rate"] = BODIES["request_rate"]
 BODIES["stream_ttl_lookup"] = BODIES["asof_with_ttl"]

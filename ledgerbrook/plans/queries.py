@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerbrook.functions.scalars import choose
+from ledgerbrook.functions.defaults import with_defaults
+from ledgerbrook.functions.scalars import choose, duration_ms
 from ledgerbrook.operators import (
     access,
     admission,
@@ -23,7 +24,9 @@ from ledgerbrook.operators import (
     validation,
 )
 from ledgerbrook.plans.adapters import ARRIVAL, Entities
-from ledgerbrook.sources import envelopes
+from ledgerbrook.schemas import PRODUCTS
+from ledgerbrook.session import run_dir
+from ledgerbrook.sources import envelopes, samples, tables
 from ledgerbrook.streaming import queries as streams
 
 Query = Callable[[Entities], DataFrame]
@@ -436,6 +439,57 @@ def request_rate(e: Entities) -> DataFrame:
     return metrics.request_rate(e.request_log())
 
 
+def request_rate_by_endpoint(e: Entities) -> DataFrame:
+    return metrics.request_rate(e.request_log(), labels=("method", "endpoint"))
+
+
+def request_rate_by_status(e: Entities) -> DataFrame:
+    return metrics.request_rate(e.request_log(), labels=("status",))
+
+
+def sliding_red(e: Entities) -> DataFrame:
+    """By service: what the gateway forwards is counted there and in the service behind it, not summed."""
+    return metrics.sliding_red(e.request_log(), labels=("service",))
+
+
+def family_histogram(e: Entities) -> DataFrame:
+    return metrics.latency_histogram(e.request_log(), ("service", "method", "endpoint"))
+
+
+def partial_updates(e: Entities) -> DataFrame:
+    sparse = {c: F.when(F.col("id") % k != 0, F.col(c)) for c, k in (("price", 3), ("quantity", 4), ("name", 5))}
+    return validation.checked_products(e.draft_products().withColumns(sparse), optional=True).select(
+        "id", "faults", "status_code"
+    )
+
+
+def user_defaults(e: Entities) -> DataFrame:
+    some = e.users().select("id", F.when(F.col("id") % 5 != 0, F.col("role")).alias("role"))
+    return with_defaults(some, "users")
+
+
+def request_durations(e: Entities) -> DataFrame:
+    return e.request_log().select("request_id", duration_ms(F.col("duration_s")).alias("duration_ms"))
+
+
+def append_products(e: Entities) -> DataFrame:
+    """The catalog written in two appends, read back."""
+    path, rows = run_dir(e.spark, "products"), e.products()
+    tables.append(rows.where("quantity > 500"), path)
+    tables.append(rows.where("NOT quantity > 500"), path)
+    return tables.scan(e.spark, path, PRODUCTS)
+
+
+def scraped_series(e: Entities) -> DataFrame:
+    """Counter samples as a scrape leaves them, with the name of their series."""
+    labels = F.map_from_arrays(F.array(F.lit("type"), F.lit("day")), F.array("series", F.to_date("ts").cast("string")))
+    rows = e.counter_samples().select(
+        "ts", F.lit("order-service").alias("job"), F.lit("events_total").alias("metric"), labels.alias("labels"),
+        F.col("value").cast("double").alias("value"),
+    )
+    return samples.with_series(rows).select("ts", "series", "value")
+
+
 def recent_window(e: Entities) -> DataFrame:
     return metrics.recent_window(e.request_log(), "INTERVAL 1 DAY").select("ts", "request_id", "endpoint", "status")
 
@@ -459,7 +513,8 @@ BATCH: tuple[Query, ...] = (
     latest_sample, admit_orders, reserve_orders, intake_outcomes, status_transitions, first_payment,
     workflow_events, payment_decisions,
     payment_ledger, payment_events, duplicate_charges, compensations, held_and_confirmed, orders_without_event,
-    request_rate, recent_window, error_rate_zero_filled,
+    request_rate, request_rate_by_endpoint, request_rate_by_status, sliding_red, family_histogram, partial_updates,
+    user_defaults, request_durations, append_products, scraped_series, recent_window, error_rate_zero_filled,
 )
 
 
