@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerbrook.functions.errors import http_status_of, message_of
@@ -129,16 +131,17 @@ def idempotent_replays(requests: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def take_orders(
-    requests: DataFrame, items: DataFrame, products: DataFrame, rows_per_slice: int = ROWS_PER_SLICE
-) -> DataFrame:
-    """Full intake: one outcome per request.
+@dataclass
+class _Decided:
+    """What the requests came to: the check of each, the priced lines, the verdicts, who answers a key."""
 
-    ``outcome`` is INVALID (bad request), CREATED, REPLAYED (the key already made an
-    order) or FAILED. A failed request does not use up its key. The key is one more
-    resource of the admission, with room for one accepted request, so keys and stock
-    are decided together in arrival order.
-    """
+    checked: DataFrame
+    priced: DataFrame
+    verdicts: DataFrame
+    answered: DataFrame
+
+
+def _decide(requests: DataFrame, items: DataFrame, products: DataFrame, rows_per_slice: int) -> _Decided:
     checked = checked_requests(requests, items).drop("n_items")
     valid = checked.where("error_code IS NULL").select(
         "request_id", "customer_id", "idempotency_key", "arrival"
@@ -193,20 +196,47 @@ def take_orders(
             "order_id"
         ),
     )
-    errors = _errors_in_order(priced, verdicts, rows_per_slice)
-    totals = priced.groupBy("request_id").agg(F.sum("_worth").cast("double").alias("total_amount"))
-    outcome = (
+    return _Decided(checked, priced, verdicts, answered)
+
+
+def _outcome() -> Column:
+    return (
         F.when(F.col("_bad").isNotNull(), "INVALID")
         .when(F.col("accepted"), "CREATED")
         .when(F.col("order_id").isNotNull(), "REPLAYED")
         .otherwise("FAILED")
     )
+
+
+def order_outcomes(
+    requests: DataFrame, items: DataFrame, products: DataFrame, rows_per_slice: int = ROWS_PER_SLICE
+) -> DataFrame:
+    """``take_orders`` without totals and errors: request_id, outcome, order_id."""
+    made = _decide(requests, items, products, rows_per_slice)
+    rows = made.checked.select("request_id", F.col("error_code").alias("_bad")).join(made.answered, "request_id", "left")
+    return rows.select("request_id", _outcome().alias("outcome"), "order_id")
+
+
+def take_orders(
+    requests: DataFrame, items: DataFrame, products: DataFrame, rows_per_slice: int = ROWS_PER_SLICE
+) -> DataFrame:
+    """Full intake: one outcome per request.
+
+    ``outcome`` is INVALID (bad request), CREATED, REPLAYED (the key already made an
+    order) or FAILED. A failed request does not use up its key. The key is one more
+    resource of the admission, with room for one accepted request, so keys and stock
+    are decided together in arrival order.
+    """
+    made = _decide(requests, items, products, rows_per_slice)
+    checked, priced, verdicts, answered = made.checked, made.priced, made.verdicts, made.answered
+    errors = _errors_in_order(priced, verdicts, rows_per_slice)
+    totals = priced.groupBy("request_id").agg(F.sum("_worth").cast("double").alias("total_amount"))
     return (
         checked.select("request_id", F.col("error_code").alias("_bad"))
         .join(answered, "request_id", "left")
         .join(errors, "request_id", "left")
         .join(totals, "request_id", "left")
-        .withColumn("outcome", outcome)
+        .withColumn("outcome", _outcome())
         .select(
             "request_id",
             "outcome",

@@ -59,7 +59,7 @@ def quarantine_counts(e: Entities) -> DataFrame:
 
 def emit_order_created(e: Entities) -> DataFrame:
     """Sent after the order is made: created orders only."""
-    made = intake.take_orders(e.requests(), e.items(), e.gappy_products()).where("outcome = 'CREATED'")
+    made = intake.order_outcomes(e.requests(), e.items(), e.gappy_products()).where("outcome = 'CREATED'")
     docs = intake.order_documents(e.requests(), e.placed_items(), e.products())
     docs = docs.join(made.select(F.col("request_id").alias("id")), "id").withColumns(
         {
@@ -301,7 +301,7 @@ def histogram_quantiles(e: Entities) -> DataFrame:
 
 
 def business_counters(e: Entities) -> DataFrame:
-    outcomes = intake.take_orders(e.requests(), e.items(), e.gappy_products())
+    outcomes = intake.order_outcomes(e.requests(), e.items(), e.gappy_products())
     return intake.business_counters(outcomes, validation.checked_products(e.draft_products()))
 
 

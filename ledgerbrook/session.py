@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -48,8 +49,14 @@ def shared_dir(spark: SparkSession) -> str:
     named = context._jsc.sc().getCheckpointDir()
     if not path and named.isDefined():
         path = named.get()
+    one_machine = re.fullmatch(r"local(\[.*\])?", context.master) is not None
+    if path and not one_machine and "://" not in path and not path.startswith("file:"):
+        # without a scheme the default file system decides, which must not be the machine's own
+        default = context._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+        if default.startswith("file:"):
+            raise RuntimeError(f"{CHECKPOINT_CONF}={path} names no file system; say file:// for a folder that is mounted everywhere")
     if not path:
-        if not context.master.startswith("local"):
+        if not one_machine:
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
         path = tempfile.mkdtemp(prefix="ledgerbrook-")
         spark.conf.set(CHECKPOINT_CONF, path)
