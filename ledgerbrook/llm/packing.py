@@ -9,8 +9,8 @@ order of (length, doc_id, start): equal lengths lie together.
 
 Tokens come from a public vocabulary file whose path is a parameter. Texts are cut
 at white space, where the vocabulary's own rules cut too, so words met before are
-looked up instead of encoded again; the look-up table of a task is bounded and
-emptied when full, which changes no result.
+looked up instead of encoded again; the look-up tables of a worker are bounded and
+given up when full, which changes no result.
 
 Defined cases: a null or empty text is the closing id alone: one piece of length
 1. Repeated rows are packed each for itself. A null doc_id is kept. Extra columns
@@ -60,8 +60,10 @@ class WordTokenizer:
 
         self.encoder = Tokenizer.from_file(path)
         self.limit = limit
-        self.words: dict[str, bytes] = {}
+        # a full table becomes the older one, from which words still in use come back
+        self.words: dict[bytes, bytes] = {}
         self.stems: dict[str, bytes] = {}
+        self.older: tuple[dict[bytes, bytes], dict[str, bytes]] = {}, {}
         self.ends = np.zeros(self.encoder.get_vocab_size(), bool)
         self.ends[[i for token, i in self.encoder.get_vocab().items() if token.endswith("</w>")]] = True
 
@@ -89,12 +91,17 @@ class WordTokenizer:
         # splits at ASCII white space only, where the vocabulary's own rules cut too
         cut = [t.split() for t in texts]
         if len(self.words) > self.limit or len(self.stems) > self.limit:
+            self.older = self.words, self.stems
             self.words, self.stems = {}, {}
         found = [list(map(self.words.get, own)) for own in cut]
         new = {w for own, got in zip(cut, found, strict=True) for w, g in zip(own, got, strict=True) if g is None}
         if new:
-            parts = {w: _stem_and_tail(w.decode()) for w in new}
-            self._learn([s for s in {x for both in parts.values() for x in both} if s not in self.stems])
+            old_words, old_stems = self.older
+            self.words.update((w, old_words[w]) for w in new if w in old_words)
+            parts = {w: _stem_and_tail(w.decode()) for w in new if w not in old_words}
+            stems = {x for both in parts.values() for x in both}
+            self.stems.update((s, old_stems[s]) for s in stems if s in old_stems)
+            self._learn([s for s in stems if s not in self.stems])
             for word, (stem, tail) in parts.items():
                 self.words[word] = self.stems[stem] + self.stems[tail]
             found = [list(map(self.words.get, own)) for own in cut]

@@ -20,7 +20,7 @@ def test_ids_equal_those_of_whole_texts():
     path = vocabulary("word_bpe_49k.json")
     whole = Tokenizer.from_file(path)
     texts = [t for t in TEXTS if t is not None]
-    for limit in (400_000, 0):
+    for limit in (400_000, 3, 0):
         own = WordTokenizer(path, limit)
         for text in texts:
             ids = np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
