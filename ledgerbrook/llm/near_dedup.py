@@ -10,8 +10,8 @@ a pair at 0.75 is lost by one tree with probability 1/9 at most, however deep, a
 by all six with about 2e-6. A node with one class, or whose classes are linked
 already, ends; a small one is compared exhaustively by sketch; a larger one
 branches on. What is still large at the greatest depth is compared exhaustively in
-blocks, and so is what is left at any depth once the blocks have no more rows than
-there are classes. Every candidate pair is confirmed on full sets.
+blocks, and so is what is left at any depth once the blocks have a few rows only for
+each class. Every candidate pair is confirmed on full sets.
 
 Dense groups are folded first: in each node every class is tried against a pivot,
 the class of the smallest doc_id and then one by hash, so a large group of copies
@@ -48,6 +48,7 @@ SKETCH_BITS = 128
 SKETCH_DIFFERS = 35
 DEPTH = 8
 SMALL = 1024
+ROOM = 4
 
 SIGNATURE = "doc_id long, text_key long, n_shingles long, cls binary, tokens array<long>, s0 long, s1 long"
 SETS = "cls binary, shingles binary"
@@ -285,14 +286,32 @@ class _Join:
         return a.join(b, keys).where(other & fits & _near(["a0", "a1"], ["b0", "b1"])).select("a", "b").distinct()
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """Rows (node, n, cls, root) of nodes of any size, repeated into pairs of blocks of bounded size."""
-    count = F.ceil(F.col("n") / SMALL).cast("int")
-    own = F.pmod(F.xxhash64("cls"), count).cast("int")
-    other = F.explode(F.sequence(F.lit(0), count - 1))
-    met = rows.withColumn("own", own).withColumn("other", other)
-    met = met.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
-    return met.select("node", "low", "high", "cls", "root")
+def _cells(rows: DataFrame) -> DataFrame:
+    """Rows (node, n, top, root_count, cls, root) of nodes of any size, repeated into cells of bounded size.
+
+    Members of the largest component of a node need no comparison among themselves:
+    their blocks meet those of the others (low at 0 or above), and the blocks of the
+    others meet each other (low below 0).
+    """
+    major = F.col("root") == F.col("top")
+    blocks, others = _block_counts()
+    own = F.pmod(F.xxhash64("cls"), F.when(major, blocks).otherwise(others)).cast("int")
+    cell = lambda low, high: F.struct(low.cast("int").alias("low"), high.cast("int").alias("high"))
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    met = F.when(major, F.transform(upto(others), lambda o: cell(F.col("_own"), o))).otherwise(
+        F.concat(
+            F.transform(upto(blocks), lambda k: cell(k, F.col("_own"))),
+            F.transform(upto(others), lambda o: cell(-1 - F.least("_own", o), F.greatest("_own", o))),
+        )
+    )
+    spread = rows.withColumn("_own", own).select("node", "cls", "root", F.explode(met).alias("c"))
+    return spread.select("node", "c.low", "c.high", "cls", "root")
+
+
+def _block_counts() -> tuple[Column, Column]:
+    """How many blocks the largest component of a node and the rest of it make."""
+    size = lambda n: F.greatest(F.ceil(n / SMALL), F.lit(1)).cast("int")
+    return size(F.col("root_count")), size(F.col("n") - F.col("root_count"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
@@ -313,25 +332,26 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
         links = links.union(more) if links else more
         grouped = components(links)
     cells = []
-    # what may be compared exhaustively at once: as many rows as there are classes
-    room = join.classes.count()
+    # what may be compared exhaustively at once: a few rows for each class
+    room = ROOM * join.classes.count()
     for depth in range(DEPTH):
         labelled = _labelled(found, grouped)
-        stats = (
-            labelled.groupBy("node")
-            .agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"))
-            .where("least != most")
-            .select("node", "n")
+        roots = labelled.groupBy("node", "root").agg(F.count("*").alias("c"))
+        stats = roots.groupBy("node").agg(
+            F.sum("c").alias("n"), F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("k")
         )
+        stats = stats.where("k > 1").select("node", "n", F.col("m.c").alias("root_count"), F.col("m.root").alias("top"))
         labelled = keep(labelled.join(stats, "node"), "nodes")
-        large = labelled.where(F.col("n") > SMALL)
-        cost = large.agg(F.sum(F.ceil(F.col("n") / SMALL))).first()[0] or 0
+        blocks, others = _block_counts()
+        copies = F.when(F.col("root") == F.col("top"), others).otherwise(blocks + others)
+        large = F.col("n") > SMALL
+        cost = labelled.agg(F.sum(F.when(large, copies))).first()[0] or 0
         if cost <= room or depth == DEPTH - 1:
             # one block is a small node; more are what is left of large ones
-            cells.append(_blocks(labelled))
+            cells.append(_cells(labelled))
             break
-        cells.append(_blocks(labelled.where(F.col("n") <= SMALL)))
-        found = keep(join.children(large.select("node", "cls")), "nodes")
+        cells.append(_cells(labelled.where(~large)))
+        found = keep(join.children(labelled.where(large).select("node", "cls")), "nodes")
     pairs = join.exhaustive(reduce(DataFrame.union, cells))
     links = links.union(join.confirmed(pairs))
     groups = _labelled(join.classes.select("cls", "doc_id"), components(links))
