@@ -25,6 +25,21 @@ SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS componen
 FROM documents d JOIN reach r USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP BY d.doc_id
 """
 
+OP2 = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+digests AS (SELECT *, sha1(body) AS h, max(page_id) OVER (PARTITION BY body) AS held FROM payloads),
+parts AS (SELECT page_id, unnest(range(0, 8)) AS k, h FROM digests),
+numbers AS (SELECT page_id, k, CAST('0x' || substr(h, CAST(5 * k + 1 AS BIGINT), 5) AS BIGINT) AS v FROM parts),
+texts AS (SELECT page_id, string_agg(
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', v // 32768 + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', v // 1024 % 32 + 1, 1)
+    || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', v // 32 % 32 + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', v % 32 + 1, 1),
+    '' ORDER BY k) AS digest FROM numbers GROUP BY page_id)
+SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, digest AS payload_digest,
+    CASE WHEN page_id = held THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> held THEN held END AS refers_to
+FROM digests JOIN texts USING (page_id)
+"""
+
 
 def registered() -> dict[str, str]:
-    return {"op1_minhash_near_dedup": OP1}
+    return {"op1_minhash_near_dedup": OP1, "op2_warc_zstd": OP2}
