@@ -8,8 +8,9 @@ the path to it, and chooses further tokens by the hash of its own path. A pair o
 similarity s survives each choice with probability s, so with two choices a node
 a pair at 0.75 is lost by one tree with probability 1/9 at most, however deep, and
 by all six with about 2e-6. A node with one class, or whose classes are linked
-already, ends; a small one is compared exhaustively by sketch; a larger one
-branches on. What is still large at the greatest depth is compared exhaustively in
+already, ends; a small one is compared exhaustively, by sketch up to ``PAIRS``
+classes, in one task on full sets up to ``SMALL``; a larger one branches on. What
+is still large at the greatest depth is compared exhaustively in
 blocks, and so is what is left at any depth once the blocks have a few rows only for
 each class. Every candidate pair is confirmed on full sets.
 
@@ -47,7 +48,9 @@ TOKENS = 24
 SKETCH_BITS = 128
 SKETCH_DIFFERS = 35
 DEPTH = 8
+PAIRS = 64
 SMALL = 1024
+BLOCK_SHINGLES = 1 << 21
 ROOM = 4
 
 SIGNATURE = "doc_id long, text_key long, n_shingles long, cls binary, tokens array<long>, s0 long, s1 long"
@@ -202,6 +205,37 @@ def _confirm(percent: int):
     return run
 
 
+def _compare(percent: int):
+    """Links between members of one cell that are in different components, by exact intersections of full sets."""
+
+    def run(cell: pa.Table) -> pa.Table:
+        names, roots, tops = (cell[c].to_pylist() for c in ("cls", "root", "top"))
+        sets = [np.frombuffer(x, np.uint64) for x in cell["shingles"].to_pylist()]
+        sizes = np.array([len(x) for x in sets], np.int64)
+        _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        order = np.argsort(ids, kind="stable")
+        starts = np.concatenate([[0], np.cumsum(np.bincount(ids))])
+        posted, at = owner[order], np.concatenate([[0], np.cumsum(sizes)])
+        number = {r: i for i, r in enumerate(set(roots))}
+        root = np.array([number[r] for r in roots])
+        a, b = [], []
+        for i in range(len(sets)):
+            if roots[i] == tops[i]:
+                # the others look for links into the largest component, not it for them
+                continue
+            own = ids[at[i] : at[i + 1]]
+            both = np.bincount(np.concatenate([posted[starts[k] : starts[k + 1]] for k in own]), minlength=len(sets))
+            linked = np.flatnonzero((100 * both >= percent * (sizes[i] + sizes - both)) & (root != root[i]))
+            # one link to each component joins it
+            for j in linked[np.unique(root[linked], return_index=True)[1]]:
+                a.append(names[i])
+                b.append(names[j])
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    return run
+
+
 def _near(sketch_a: list[str], sketch_b: list[str]) -> Column:
     differing = sum((F.bit_count(F.col(a).bitwiseXOR(F.col(b))) for a, b in zip(sketch_a, sketch_b)), F.lit(0))
     return differing <= SKETCH_DIFFERS
@@ -232,18 +266,28 @@ class _Join:
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Those candidate pairs (a, b) of classes that are linked, by their full sets."""
         pairs = keep(pairs.distinct(), "candidates")
-        ends = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct()
+        sets = self.full_sets(pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct())
+        left = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("left"))
+        right = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("right"))
+        joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+        return keep(joined.mapInArrow(_confirm(self.percent), "a binary, b binary"), "links")
+
+    def compared(self, rows: DataFrame) -> DataFrame:
+        """Links found in the cells (node, low, high) of large nodes; no pair leaves its task unless it is one."""
+        sets = self.full_sets(rows.select("cls").distinct())
+        full = rows.join(sets, "cls").select("node", "low", "high", "cls", "root", "top", "shingles")
+        found = full.groupBy("node", "low", "high").applyInArrow(_compare(self.percent), "a binary, b binary")
+        return keep(found.distinct(), "links")
+
+    def full_sets(self, ends: DataFrame) -> DataFrame:
+        """The full sets (cls, shingles) of the classes named in ``cls``."""
         wanted = ends.join(self.classes.select("cls", "doc_id"), "cls").select("doc_id").distinct()
         texts = self.docs.select("doc_id", "text")
         named = texts.join(wanted.where("doc_id IS NOT NULL"), "doc_id", "left_semi")
         # classes of documents without number are told by their sets alone
         unnamed = texts.where("doc_id IS NULL")
         sets = named.union(unnamed).select("text").mapInArrow(_full_sets(self.size), SETS)
-        sets = keep(sets.join(ends, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
-        left = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("left"))
-        right = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("right"))
-        joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-        return keep(joined.mapInArrow(_confirm(self.percent), "a binary, b binary"), "links")
+        return keep(sets.join(ends, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
 
     def sketched(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) of class ids whose sizes and sketches allow a link."""
@@ -257,7 +301,7 @@ class _Join:
         """The nodes below the root of every tree, as (node, cls)."""
         chosen = [(t, t * BRANCHES + k) for t in range(TREES) for k in range(BRANCHES)]
         nodes = F.array(*(F.xxhash64(F.lit(t), F.lit(p), F.col("tokens")[p]) for t, p in chosen))
-        return self.classes.select(F.explode(nodes).alias("node"), "cls")
+        return self.classes.select(F.explode(nodes).alias("node"), "cls", F.col("n_shingles").alias("width"))
 
     def stars(self, rows: DataFrame, grouped: DataFrame | None, pivot: Column) -> DataFrame:
         """Pairs (a, b): each class of a node with the pivot, the least by ``pivot``, unless they are linked already."""
@@ -272,13 +316,15 @@ class _Join:
         one = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(TOKENS))
         two = F.pmod(one + 1 + F.pmod(F.xxhash64("node", F.lit(2)), F.lit(TOKENS - 1)), F.lit(TOKENS))
         below = F.array(*(F.xxhash64("node", p, F.element_at("tokens", (p + 1).cast("int"))) for p in (one, two)))
-        return rows.join(self.classes.select("cls", "tokens"), "cls").select(F.explode(below).alias("node"), "cls").distinct()
+        return rows.join(self.classes.select("cls", "tokens"), "cls").select(
+            F.explode(below).alias("node"), "cls", "width"
+        ).distinct()
 
     def exhaustive(self, rows: DataFrame) -> DataFrame:
-        """Pairs of different components in each cell (node, low, high), by sketch."""
+        """Pairs of different components in each small node, by sketch."""
         short = self.classes.select("cls", "n_shingles", "s0", "s1")
-        keys = ["node", "low", "high"]
-        full = keep(rows.join(short, "cls").select(*keys, "cls", "root", "n_shingles", "s0", "s1"), "cells")
+        keys = ["node"]
+        full = keep(rows.join(short, "cls").select(*keys, "cls", "root", "n_shingles", "s0", "s1"), "small-nodes")
         a = full.toDF(*keys, "a", "root_a", "na", "a0", "a1")
         b = full.toDF(*keys, "b", "root_b", "nb", "b0", "b1")
         fits = 100 * F.least("na", "nb") >= self.percent * F.greatest("na", "nb")
@@ -304,13 +350,14 @@ def _cells(rows: DataFrame) -> DataFrame:
             F.transform(upto(others), lambda o: cell(-1 - F.least("_own", o), F.greatest("_own", o))),
         )
     )
-    spread = rows.withColumn("_own", own).select("node", "cls", "root", F.explode(met).alias("c"))
-    return spread.select("node", "c.low", "c.high", "cls", "root")
+    spread = rows.withColumn("_own", own).select("node", "cls", "root", "top", F.explode(met).alias("c"))
+    return spread.select("node", "c.low", "c.high", "cls", "root", "top")
 
 
 def _block_counts() -> tuple[Column, Column]:
     """How many blocks the largest component of a node and the rest of it make."""
-    size = lambda n: F.greatest(F.ceil(n / SMALL), F.lit(1)).cast("int")
+    rows = F.greatest(F.lit(1), F.least(F.lit(SMALL), F.floor(F.lit(BLOCK_SHINGLES) / F.col("widest"))))
+    size = lambda n: F.greatest(F.ceil(n / rows), F.lit(1)).cast("int")
     return size(F.col("root_count")), size(F.col("n") - F.col("root_count"))
 
 
@@ -331,29 +378,32 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
         more = join.confirmed(join.sketched(join.stars(found, grouped, pivot)))
         links = links.union(more) if links else more
         grouped = components(links)
-    cells = []
+    small, cells = [], []
     # what may be compared exhaustively at once: a few rows for each class
     room = ROOM * join.classes.count()
     for depth in range(DEPTH):
         labelled = _labelled(found, grouped)
-        roots = labelled.groupBy("node", "root").agg(F.count("*").alias("c"))
+        roots = labelled.groupBy("node", "root").agg(F.count("*").alias("c"), F.max("width").alias("width"))
         stats = roots.groupBy("node").agg(
-            F.sum("c").alias("n"), F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("k")
+            F.sum("c").alias("n"), F.max(F.struct("c", "root")).alias("m"), F.count("*").alias("k"), F.max("width").alias("widest")
+        )
+        stats = stats.where("k > 1").select(
+            "node", "n", "widest", F.col("m.c").alias("root_count"), F.col("m.root").alias("top")
         )
-        stats = stats.where("k > 1").select("node", "n", F.col("m.c").alias("root_count"), F.col("m.root").alias("top"))
         labelled = keep(labelled.join(stats, "node"), "nodes")
         blocks, others = _block_counts()
         copies = F.when(F.col("root") == F.col("top"), others).otherwise(blocks + others)
         large = F.col("n") > SMALL
         cost = labelled.agg(F.sum(F.when(large, copies))).first()[0] or 0
         if cost <= room or depth == DEPTH - 1:
-            # one block is a small node; more are what is left of large ones
-            cells.append(_cells(labelled))
+            small.append(labelled.where(F.col("n") <= PAIRS))
+            cells.append(_cells(labelled.where(F.col("n") > PAIRS)))
             break
-        cells.append(_cells(labelled.where(~large)))
-        found = keep(join.children(labelled.where(large).select("node", "cls")), "nodes")
-    pairs = join.exhaustive(reduce(DataFrame.union, cells))
-    links = links.union(join.confirmed(pairs))
+        small.append(labelled.where(F.col("n") <= PAIRS))
+        cells.append(_cells(labelled.where(~large & (F.col("n") > PAIRS))))
+        found = keep(join.children(labelled.where(large).select("node", "cls", "width")), "nodes")
+    links = links.union(join.confirmed(join.exhaustive(reduce(DataFrame.union, small))))
+    links = links.union(join.compared(reduce(DataFrame.union, cells)))
     groups = _labelled(join.classes.select("cls", "doc_id"), components(links))
     named = groups.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     by_class = groups.select("cls", "root").join(named, "root")

@@ -3,6 +3,8 @@
 import random
 import re
 
+import pytest
+
 from ledgerbrook.llm import near_dedup
 from ledgerbrook.llm.near_dedup import near_duplicates, representatives
 
@@ -67,9 +69,12 @@ def test_random_groups_and_odd_texts(spark):
     assert result(spark, rows) == by_hand(rows)
 
 
-def test_large_groups_reach_every_depth(spark, monkeypatch):
+@pytest.mark.parametrize("room", [0, 100])
+def test_large_groups_reach_every_depth(spark, monkeypatch, room):
     """Nodes far above the exhaustive size, with strangers at 0.6 among near copies."""
-    monkeypatch.setattr(near_dedup, "SMALL", 4)
+    monkeypatch.setattr(near_dedup, "SMALL", 8)
+    monkeypatch.setattr(near_dedup, "PAIRS", 4)
+    monkeypatch.setattr(near_dedup, "ROOM", room)
     monkeypatch.setattr(near_dedup, "DEPTH", 3)
     rng = random.Random(8)
     base = [f"v{i}" for i in range(200)]
