@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ledgerbrook.llm.common import keep, ranked
 
-WORD_TABLE = 400_000
+WORD_TABLE = 700_000
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 #: Marks that, closing a word after a letter, are tokens of their own.
@@ -73,9 +73,10 @@ class WordTokenizer:
 
     def _learn(self, stems: list[str]) -> None:
         letters = [s for s in stems if s.isalpha()]
-        for at in range(0, len(letters), 512):
-            part = letters[at : at + 512]
-            ids = np.array(self.encoder.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+        parts = [letters[at : at + 512] for at in range(0, len(letters), 512)]
+        joined = self.encoder.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)
+        for part, found in zip(parts, joined, strict=True):
+            ids = np.array(found.ids, "<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(part):
                 own = self._encoded(part)
@@ -94,8 +95,9 @@ class WordTokenizer:
             self.older = self.words, self.stems
             self.words, self.stems = {}, {}
         found = [list(map(self.words.get, own)) for own in cut]
-        new = {w for own, got in zip(cut, found, strict=True) for w, g in zip(own, got, strict=True) if g is None}
-        if new:
+        open_ = [i for i, got in enumerate(found) if None in got]
+        if open_:
+            new = set().union(*(cut[i] for i in open_)).difference(self.words)
             old_words, old_stems = self.older
             self.words.update((w, old_words[w]) for w in new if w in old_words)
             parts = {w: _stem_and_tail(w.decode()) for w in new if w not in old_words}
@@ -104,7 +106,8 @@ class WordTokenizer:
             self._learn([s for s in stems if s not in self.stems])
             for word, (stem, tail) in parts.items():
                 self.words[word] = self.stems[stem] + self.stems[tail]
-            found = [list(map(self.words.get, own)) for own in cut]
+            for i in open_:
+                found[i] = list(map(self.words.get, cut[i]))
         return list(map(b"".join, found))
 
 
