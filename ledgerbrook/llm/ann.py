@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerbrook.llm.common import keep
+from ledgerbrook.llm.common import first_by, keep
 
 NEAREST = 20
 SAMPLE = 20_000
@@ -196,7 +196,8 @@ class _Search:
         if not self.count:
             return
         # bounded by SAMPLE
-        sample = self.classes.orderBy(F.xxhash64("cls"), "cls").limit(SAMPLE).select("embedding").toArrow()
+        sample = first_by(self.classes.select("cls", "embedding"), F.xxhash64("cls"), SAMPLE).orderBy("cls")
+        sample = sample.select("embedding").toArrow()
         wanted = lists or max(1, min(LISTS, int(math.sqrt(self.count))))
         space = _Space(_matrix(sample.column(0)), self.longest, wanted)
         self.lists = len(space.centres)

@@ -42,6 +42,13 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SEPARATORS), "")
 
 
+def first_by(df: DataFrame, key: Column, n: int) -> DataFrame:
+    """One row for each of the ``n`` smallest values of ``key``; only keys meet in one place."""
+    keyed = df.withColumn("_key", key)
+    edge = keyed.select("_key").distinct().orderBy("_key").limit(n).agg(F.max("_key")).first()[0]
+    return keyed.where(F.col("_key") <= F.lit(edge)).dropDuplicates(["_key"]).drop("_key")
+
+
 def ranked(df: DataFrame, keys: list[Column], name: str = "_rank") -> DataFrame:
     """``df`` with the global position of each row in the order of ``keys``, from 0.
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerbrook.llm import html_examples
-from ledgerbrook.llm.common import keep
+from ledgerbrook.llm.common import first_by, keep
 
 LABELLED_PAGES = 500
 SMOOTHING = 0.5
@@ -306,7 +306,7 @@ def fit(pages: DataFrame | None = None, limit: int = LABELLED_PAGES) -> Model:
         total.update(counts(page))
     if pages is not None:
         rows = pages.where("html IS NOT NULL").where(F.col("html").rlike("(?i)<(article|main)[ >]"))
-        rows = rows.select("html", F.xxhash64("html").alias("_h")).orderBy("_h").limit(limit).select("html")
+        rows = first_by(rows.select("html"), F.xxhash64("html"), limit)
         found = keep(rows, "labelled").mapInArrow(_page_counts, "kind string, name string, state long, n long")
         # names come from at most ``limit`` pages
         for row in found.groupBy("kind", "name", "state").agg(F.sum("n").alias("n")).where("n > 2").collect():

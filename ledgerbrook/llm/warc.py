@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerbrook.llm.common import keep
+from ledgerbrook.llm.common import first_by, keep
 from ledgerbrook.session import run_dir
 
 ARCHIVE_BYTES = 32 << 20
@@ -182,9 +182,9 @@ def records(data: bytes) -> Iterator[dict]:
 
 def train_dictionary(pages: DataFrame) -> bytes:
     """A dictionary from at most ``SAMPLE_PAGES`` pages, the first by a hash of page_id; empty if too few."""
-    rows = pages.where("html IS NOT NULL AND octet_length(html) < 100000").orderBy(F.xxhash64("page_id"), "page_id")
+    rows = pages.where("html IS NOT NULL AND octet_length(html) < 100000").select("page_id", "url", "html")
     samples, total = [], 0
-    for row in rows.limit(SAMPLE_PAGES).select("page_id", "url", "html").collect():
+    for row in first_by(rows, F.xxhash64("page_id"), SAMPLE_PAGES).orderBy("page_id", "html").collect():
         samples.append(encode_record(row["page_id"], row["url"], row["html"].encode(), None))
         total += len(samples[-1])
         if total > SAMPLE_BYTES:
