@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,9 +24,18 @@ def keep(df: DataFrame, label: str = "kept") -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _reachable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _reachable(spark: SparkSession) -> None:
+    """Let Python workers import this package where it is not installed but lies in the same place (local runs)."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def vocabulary(name: str) -> str:
     """The path of a public vocabulary file, installed alike on all machines."""
     import public_tokenizers
