@@ -15,8 +15,11 @@ smallest vec_ids. Lists and queries are cut into chunks of bounded size, and a t
 scans one chunk of queries against one chunk of a list.
 
 The centroids are fitted on a bounded sample of classes (the first ``SAMPLE`` by
-hash); every vector is in a list. Queries that meet fewer candidates than asked for
-are run against all lists.
+hash); every vector is in a list. How many lists are probed is measured: at most
+``MEASURED`` queries (the first by hash) are compared with every vector, and as many
+of the nearest lists are taken as hold ``RECALL`` of their true neighbours, all lists
+if need be. Queries that meet fewer candidates than asked for are run against all
+lists.
 
 Defined cases: null, empty or zero vectors, or such with null or non-finite
 components, take no part, nor do vectors of another length than most have (the
@@ -44,8 +47,9 @@ SAMPLE = 20_000
 LISTS = 1024
 ROUNDS = 8
 FIRST_LISTS = 2
-PROBED_SHARE = 0.2
 LEAST_PROBED = 8
+MEASURED = 128
+RECALL = 0.95
 COLUMNS = 16
 ERROR = 2.1
 CHUNK = 4096
@@ -147,7 +151,7 @@ def _assign(shared: Callable[[], _Space], probed: int):
     return run
 
 
-def _scan_group(k: int):
+def _scan_group(k: int, tested: bool):
     def run(queries: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
         if len(queries) and len(stored):
@@ -163,7 +167,8 @@ def _scan_group(k: int):
                 best: list[np.ndarray] = []
                 # piece by piece, so that the bound of one piece prunes the next
                 for at in range(0, len(names), 1024):
-                    left = at + scan(placed, columns[:, at : at + 1024], far)
+                    part = columns[:, at : at + 1024]
+                    left = at + (scan(placed, part, far) if tested else np.arange(part.shape[1]))
                     if len(left):
                         best.append(left)
                         pool = np.concatenate(best)
@@ -181,13 +186,16 @@ def _scan_group(k: int):
 
 
 class _Search:
-    def __init__(self, vectors: DataFrame, is_query: Column, k: int, lists: int | None, share: float) -> None:
+    def __init__(self, vectors: DataFrame, is_query: Column, k: int, lists: int | None, share: float | None) -> None:
         self.k = k
         rows = usable(vectors).withColumn("cls", F.xxhash64("embedding", F.lit(0)).cast("string"))
         rows = rows.withColumn("cls", F.concat_ws(".", "cls", F.xxhash64(F.lit(1), "embedding")))
         self.rows = keep(rows.dropDuplicates(["vec_id", "cls"]).withColumn("asks", F.coalesce(is_query, F.lit(False))), "vectors")
         grouped = self.rows.groupBy("cls").agg(
-            F.first("embedding").alias("embedding"), F.min("vec_id").alias("least"), F.max("asks").alias("asks")
+            F.first("embedding").alias("embedding"),
+            F.min("vec_id").alias("least"),
+            F.max("asks").alias("asks"),
+            F.count("*").alias("members"),
         )
         self.classes = keep(grouped, "vector-classes")
         norm = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)
@@ -201,7 +209,6 @@ class _Search:
         wanted = lists or max(1, min(LISTS, int(math.sqrt(self.count))))
         space = _Space(_matrix(sample.column(0)), self.longest, wanted)
         self.lists = len(space.centres)
-        self.probed = min(self.lists, max(LEAST_PROBED, math.ceil(share * self.lists)))
         held = vectors.sparkSession.sparkContext.broadcast(space)
         self.shared = lambda: held.value
         kind = "cls string, embedding array<double>, placed array<double>, lists array<long>"
@@ -211,12 +218,35 @@ class _Search:
         sizes = stored.groupBy("list").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
         self.stored = stored.join(F.broadcast(sizes), "list").withColumn("chunk", F.pmod(F.xxhash64("cls"), "chunks").cast("int"))
         self.sizes = sizes
+        needed = self._needed() if share is None else math.ceil(share * self.lists)
+        self.probed = min(self.lists, max(LEAST_PROBED, needed))
+
+    def _needed(self) -> int:
+        """How many nearest lists hold ``RECALL`` of the true neighbours of the measured queries."""
+        kind = "cls string, embedding array<double>, placed array<double>, lists array<long>"
+        # bounded by MEASURED
+        chosen = first_by(self.classes.where("asks").select("cls", "embedding"), F.xxhash64("cls"), MEASURED)
+        asked = keep(self._placed(chosen, kind, self.lists), "measured")
+        every = asked.withColumn("list", F.explode("lists")).withColumn("bound", F.lit(float("nan")))
+        found = self.best(self.scanned(every, tested=False))
+        found = found.join(self.classes.select("cls", "members"), "cls")
+        found = self.stored.select("cls", "list").join(F.broadcast(found), "cls")
+        found = found.join(F.broadcast(asked.select(F.col("cls").alias("query"), "lists")), "query")
+        place = F.array_position("lists", F.col("list")).alias("place")
+        at = found.select("query", "score", "least", "members", place).orderBy("query", F.desc("score"), "least").toPandas()
+        if not len(at):
+            return 0
+        # a class counts by those of its rows that are among the k + 1 best
+        before = at.groupby("query")["members"].cumsum() - at["members"]
+        weight = np.clip(self.k + 1 - before, 0, at["members"]).to_numpy(float)
+        held = np.cumsum(np.bincount(at["place"].to_numpy(np.int64), weight, self.lists + 1))
+        return int(np.argmax(held >= RECALL * held[-1]))
 
     def _placed(self, classes: DataFrame, kind: str, probed: int) -> DataFrame:
         return classes.select("cls", "embedding").mapInArrow(_assign(self.shared, probed), kind)
 
-    def scanned(self, asked: DataFrame) -> DataFrame:
-        """(query, cls, score) of queries (cls, embedding, placed, list, bound) in their lists."""
+    def scanned(self, asked: DataFrame, tested: bool = True) -> DataFrame:
+        """(query, cls, score) of queries (cls, embedding, placed, list, bound) in their lists; all distances unless ``tested``."""
         met = asked.join(F.broadcast(self.sizes), "list").withColumn("longest", F.lit(self.longest))
         parts = asked.groupBy("list").agg(F.ceil(F.count("*") / QUERY_CHUNK).cast("int").alias("parts"))
         met = met.join(F.broadcast(parts), "list")
@@ -228,7 +258,7 @@ class _Search:
         keys = ["list", "chunk", "part"]
         left = met.select(*keys, "cls", "embedding", "placed", "bound", "longest").groupBy(*keys)
         right = held.select(*keys, "cls", "embedding", "placed", "least").groupBy(*keys)
-        return left.cogroup(right).applyInPandas(_scan_group(self.k + 1), "query string, cls string, score double")
+        return left.cogroup(right).applyInPandas(_scan_group(self.k + 1, tested), "query string, cls string, score double")
 
     def best(self, found: DataFrame) -> DataFrame:
         order = Window.partitionBy("query").orderBy(F.desc("score"), "least")
@@ -258,9 +288,12 @@ class _Search:
 
 
 def nearest(
-    vectors: DataFrame, is_query: Column, k: int = NEAREST, lists: int | None = None, share: float = PROBED_SHARE
+    vectors: DataFrame, is_query: Column, k: int = NEAREST, lists: int | None = None, share: float | None = None
 ) -> DataFrame:
-    """Rows (query_id, rank, vec_id, score): the ``k`` nearest other rows of each row for which ``is_query`` holds."""
+    """Rows (query_id, rank, vec_id, score): the ``k`` nearest other rows of each row for which ``is_query`` holds.
+
+    ``share``: of the lists to probe, measured where it is not given.
+    """
     search = _Search(vectors, is_query, k, lists, share)
     if not search.count:
         return search.rows.select(

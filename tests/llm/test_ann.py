@@ -48,6 +48,15 @@ def test_recall_and_scores_over_lists(spark):
         assert all(abs(s - of[q] @ of[i]) < 1e-12 for i, s in rows)
 
 
+def test_recall_without_clusters(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").toPandas()
+    ids, vectors = table["vec_id"].to_numpy(), np.stack(table["embedding"])
+    found = result(spark, [(int(i), v.tolist()) for i, v in zip(ids, vectors, strict=True)])
+    got = recall(found, by_hand(ids, vectors, 20))
+    print("recall", got)
+    assert got >= 0.9
+
+
 def test_all_lists_give_all(spark, monkeypatch):
     monkeypatch.setattr(ann, "CHUNK", 50)
     monkeypatch.setattr(ann, "QUERY_CHUNK", 7)
