@@ -11,9 +11,9 @@ points; a weak candidate becomes a span only if it complements another part:
 * a user name beside an assignment or a weak secret,
 * an endpoint beside a secret (an assignment, a weak secret) and an identifier.
 
-Parts are put in buckets of one scope, each probe into its own bucket and the two
-beside it, and the join only asks whether a partner exists, so a text full of
-parts makes no pairs. All of it is DataFrame functions.
+Parts are put in buckets of one scope, a candidate into all that its span touches, a
+partner into all that its span touches with one scope on both sides, and the join
+only asks whether a partner exists, so a text full of parts makes no pairs. All of it is DataFrame functions.
 
 Defined cases: a null text is empty and has no spans. Positions count code points,
 ends are exclusive. A weak candidate that overlaps a base span is that span already and is
@@ -29,8 +29,6 @@ from pyspark.sql import functions as F
 from ledgerbrook.llm.common import keep, let
 
 SCOPE = 200
-#: No weak candidate is longer than this, by the bounds in its pattern.
-WEAK_LONGEST = 256
 
 #: The base patterns, with the shortest match (or group 2) that counts.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -40,11 +38,11 @@ ASSIGNED_LENGTH = 12
 BASE = ("assign", "access", "hex")
 
 WEAK_SECRET = (
-    r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/_-]{0,200}[0-9])(?=[a-z0-9+/_-]{0,200}[A-Z])(?=[A-Z0-9+/_-]{0,200}[a-z])"
-    r"[A-Za-z0-9+/_-]{32,128}={0,2}(?![A-Za-z0-9+/=_-])"
+    r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/_-]*+[0-9])(?=[a-z0-9+/_-]*+[A-Z])(?=[A-Z0-9+/_-]*+[a-z])"
+    r"[A-Za-z0-9+/_-]{32,}+={0,2}(?![A-Za-z0-9+/=_-])"
 )
-WEAK_USER = r"""(?i)\b(?:user(?:_?name)?|login|client_?id|account)["']?\x20{0,8}[:=]\x20{0,8}["']?[A-Za-z0-9@._-]{3,64}"""
-WEAK_ENDPOINT = r"(?i)\b(?:https?|jdbc:[a-z0-9]{2,16}|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\x20\x09-\x0D\"'<>|]{4,200}"
+WEAK_USER = r"""(?i)\b(?:user(?:_?name)?|login|client_?id|account)["']?\x20*+[:=]\x20*+["']?[A-Za-z0-9@._-]{3,}+"""
+WEAK_ENDPOINT = r"(?i)\b(?:https?|jdbc:[a-z0-9]{2,}+|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\x20\x09-\x0D\"'<>|]{4,}+"
 WEAK = {"weak_secret": WEAK_SECRET, "user": WEAK_USER, "endpoint": WEAK_ENDPOINT}
 
 _SPAN = "struct<kind:string,start:int,end:int>"
@@ -111,24 +109,20 @@ def _weak_spans(text: Column, base: Column) -> Column:
 
 def _linked(parts: DataFrame, scope: int) -> DataFrame:
     """The weak parts (doc_key, kind, start, end) that complementary parts confirm."""
-    bucket = F.floor(F.col("start") / scope)
-    weak = parts.where(F.col("kind").isin(*WEAK)).withColumn("bucket", bucket)
+    weak = parts.where(F.col("kind").isin(*WEAK)).select("doc_key", "kind", "start", "end")
 
     def near(rows: DataFrame, *kinds: str) -> DataFrame:
         partners = parts.where(F.col("kind").isin(*kinds)).select(
             F.col("doc_key").alias("k"),
             F.col("start").alias("s"),
             F.col("end").alias("e"),
-            # every bucket in which a candidate within the scope can begin
-            F.explode(
-                F.sequence(
-                    F.floor((F.col("start") - scope - WEAK_LONGEST) / scope), F.floor((F.col("end") + scope) / scope)
-                )
-            ).alias("b"),
+            # every bucket that a candidate within the scope can touch
+            F.explode(F.sequence(F.floor((F.col("start") - scope) / scope), F.floor((F.col("end") + scope) / scope))).alias("b"),
         )
+        touched = F.sequence(F.floor(F.col("start") / scope), F.floor(F.col("end") / scope))
         close = (F.col("s") <= F.col("end") + scope) & (F.col("start") <= F.col("e") + scope)
         met = (F.col("doc_key") == F.col("k")) & (F.col("bucket") == F.col("b")) & close
-        return rows.join(partners, met, "left_semi")
+        return rows.withColumn("bucket", F.explode(touched)).join(partners, met, "left_semi").drop("bucket").distinct()
 
     of = lambda kind: weak.where(F.col("kind") == kind)
     secrets = near(of("weak_secret"), "access", "user", "endpoint")
