@@ -2,15 +2,16 @@
 
 Texts are TF-IDF vectors over terms: words without the marks around them, and the
 first four and five letters of longer words, which carry what inflected forms
-share. The vocabulary holds the terms that speak most for the label by chi-squared
-among the labelled examples (those with at least a tenth of the best value), their document frequencies are counted over all
-documents. Cosine is exact in that space.
+share. The vocabulary holds every term that speaks for the label among the labelled
+examples, however rare; a term weighs its inverse document frequency (counted over
+all documents) times its smoothed log odds for the label, and one whose odds are not
+above those of all examples says nothing for it and weighs nothing. Cosine is exact in that space.
 
 The examples (at most ``EXAMPLES``, the first by a hash of doc_id) are an inverted
 index in blocks: for each term of a block the weights of its documents, and their
-maximum. For a text the maxima bound its cosine with any document of a block, so
-its blocks are taken by falling bound until the bound is below the k-th best: the
-k nearest are exact. They vote by nearness, and votes become probabilities by an
+maximum. For a text the maxima bound its cosine with any document of a block, and
+blocks whose bound is below the k-th best so far are left out: the k nearest are
+exact. Texts are taken in lots, blocks by the falling sum of their bounds in a lot. They vote by nearness, and votes become probabilities by an
 isotonic fit over the examples themselves, each scored without itself. The nearest
 examples come along as evidence.
 
@@ -38,11 +39,9 @@ from pyspark.sql import functions as F
 from ledgerbrook.llm.common import keep
 
 EXAMPLES = 8000
-TERMS = 512
-LEAST_DF = 3
-LEAST_SHARE = 0.1
 NEAREST = 25
 BLOCK = 64
+QUERIES = 64
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
 EVIDENCE = 5
@@ -81,66 +80,103 @@ class Model:
     """Vocabulary, blocked index, labels and the fit from votes to probabilities."""
 
     vocabulary: dict[str, int]
-    idf: np.ndarray
+    weight: np.ndarray
     ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     labels: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    blocks: list[tuple[int, np.ndarray, np.ndarray]] = field(default_factory=list)
+    blocks: list[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
     maxima: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     nearest: int = NEAREST
     empty_rate: float = 0.0
     votes: np.ndarray = field(default_factory=lambda: np.zeros(0))
     rates: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
-    def vectors(self, counts: list[Counter]) -> np.ndarray:
-        """Unit TF-IDF vectors, zero where no term is known."""
-        out = np.zeros((len(counts), len(self.vocabulary)))
+    def compact(self, counts: list[Counter]) -> tuple[np.ndarray, np.ndarray]:
+        """The terms that occur, and unit TF-IDF vectors over them, zero where no term is known."""
+        terms = np.array(sorted(set().union(*counts)), np.int64)
+        out = np.zeros((len(counts), len(terms)))
         for row, found in zip(out, counts, strict=True):
             if found:
                 at = np.fromiter(found, np.int64, len(found))
-                row[at] = (1 + np.log(np.fromiter(found.values(), float, len(found)))) * self.idf[at]
+                row[np.searchsorted(terms, at)] = (1 + np.log(np.fromiter(found.values(), float, len(found)))) * self.weight[at]
         length = np.sqrt((out**2).sum(axis=1, keepdims=True))
-        return np.divide(out, length, out=out, where=length > 0)
+        return terms, np.divide(out, length, out=out, where=length > 0)
+
+    def vectors(self, counts: list[Counter]) -> np.ndarray:
+        """Unit TF-IDF vectors over all terms."""
+        terms, held = self.compact(counts)
+        out = np.zeros((len(counts), len(self.vocabulary)))
+        out[:, terms] = held
+        return out
 
     def index(self, ids: np.ndarray, labels: np.ndarray, vectors: np.ndarray) -> None:
         """Lay the examples out in blocks of like documents, with the maximum of each term in each block."""
-        order = np.lexsort((ids, vectors.max(axis=1, initial=0), vectors.argmax(axis=1) if vectors.shape[1] else ids))
+        top = vectors.argmax(axis=1) if vectors.shape[1] else ids
+        order = np.lexsort((ids, vectors.max(axis=1, initial=0), top))
         self.ids, self.labels, vectors = ids[order], labels[order], vectors[order]
-        maxima = []
-        for at in range(0, len(ids), BLOCK):
-            part = vectors[at : at + BLOCK]
+        terms = np.arange(vectors.shape[1])
+        self._lay([(terms, vectors[at : at + BLOCK]) for at in range(0, len(ids), BLOCK)])
+
+    def index_counts(self, ids: np.ndarray, labels: np.ndarray, counts: list[Counter]) -> list[Counter]:
+        """As ``index``, from the terms of the examples; returns them in the order of the index."""
+        top, most = np.zeros(len(ids), np.int64), np.zeros(len(ids))
+        for i, found in enumerate(counts):
+            if found:
+                terms, vector = self.compact([found])
+                top[i], most[i] = terms[vector[0].argmax()], vector.max()
+        order = np.lexsort((ids, most, top))
+        self.ids, self.labels, counts = ids[order], labels[order], [counts[i] for i in order]
+        self._lay([self.compact(counts[at : at + BLOCK]) for at in range(0, len(ids), BLOCK)])
+        return counts
+
+    def _lay(self, parts: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        self.maxima = np.zeros((len(self.vocabulary), len(parts)))
+        for b, (terms, part) in enumerate(parts):
             top = part.max(axis=0)
             used = np.flatnonzero(top)
-            self.blocks.append((at, used, np.ascontiguousarray(part[:, used].T)))
-            maxima.append(top)
-        self.maxima = np.array(maxima).reshape(len(self.blocks), vectors.shape[1]).T
-
-    def search(self, queries: np.ndarray, skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Cosines and rows of the nearest examples, best first; -1 where there are fewer. ``skip``: a row per query."""
+            self.maxima[terms[used], b] = top[used]
+            columns = part[:, used].T
+            place, row = np.nonzero(columns)
+            starts = np.searchsorted(place, np.arange(len(used) + 1))
+            self.blocks.append((b * BLOCK, len(part), terms[used], starts, row, columns[place, row]))
+
+    def _opened(self, b: int, terms: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+        """First row of a block, which of ``terms`` it holds, and their weights in it."""
+        at, size, used, starts, row, value = self.blocks[b]
+        place = np.minimum(np.searchsorted(used, terms), len(used) - 1)
+        met = np.flatnonzero(used[place] == terms)
+        place = place[met]
+        long = starts[place + 1] - starts[place]
+        flat = np.arange(long.sum()) + np.repeat(starts[place] - np.cumsum(long) + long, long)
+        weights = np.zeros((len(met), size))
+        weights[np.repeat(np.arange(len(met)), long), row[flat]] = value[flat]
+        return at, met, weights
+
+    def search(
+        self, queries: np.ndarray, skip: np.ndarray | None = None, terms: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Cosines and rows of the nearest examples, best first; -1 where there are fewer.
+
+        ``skip``: a row per query. ``terms``: those of the columns, all where not given.
+        """
         n, k = len(queries), self.nearest
         best, rows = np.zeros((n, k)), np.full((n, k), -1)
-        bounds = queries @ self.maxima
-        order = np.argsort(-bounds, axis=1, kind="stable")
-        active = np.arange(n)
-        for turn in range(len(self.blocks)):
-            block = order[active, turn]
-            reach = bounds[active, block]
+        terms = np.arange(queries.shape[1]) if terms is None else terms
+        bounds = queries @ self.maxima[terms]
+        for b in np.argsort(-bounds.sum(axis=0), kind="stable"):
             # equal bounds are still looked at: ties go to the smaller id
-            going = (reach > 0) & (reach >= best[active, -1] - 1e-9)
-            active, block = active[going], block[going]
-            if not len(active):
-                break
-            for b in np.unique(block):
-                own = active[block == b]
-                at, used, weights = self.blocks[b]
-                score = np.round(queries[np.ix_(own, used)] @ weights, 12)
-                held = np.broadcast_to(np.arange(at, at + weights.shape[1]), score.shape)
-                if skip is not None:
-                    score = np.where(held == skip[own, None], 0.0, score)
-                score = np.concatenate([best[own], score], axis=1)
-                held = np.where(score > 0, np.concatenate([rows[own], held], axis=1), -1)
-                names = np.where(held >= 0, self.ids[held], np.iinfo(np.int64).max)
-                top = np.lexsort((names, -score), axis=1)[:, :k]
-                best[own], rows[own] = np.take_along_axis(score, top, 1), np.take_along_axis(held, top, 1)
+            own = np.flatnonzero((bounds[:, b] > 0) & (bounds[:, b] >= best[:, -1] - 1e-9))
+            if not len(own):
+                continue
+            at, met, weights = self._opened(b, terms)
+            score = np.round(queries[np.ix_(own, met)] @ weights, 12)
+            held = np.broadcast_to(np.arange(at, at + weights.shape[1]), score.shape)
+            if skip is not None:
+                score = np.where(held == skip[own, None], 0.0, score)
+            score = np.concatenate([best[own], score], axis=1)
+            held = np.where(score > 0, np.concatenate([rows[own], held], axis=1), -1)
+            names = np.where(held >= 0, self.ids[held], np.iinfo(np.int64).max)
+            top = np.lexsort((names, -score), axis=1)[:, :k]
+            best[own], rows[own] = np.take_along_axis(score, top, 1), np.take_along_axis(held, top, 1)
         return best, rows
 
     def vote(self, best: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -152,12 +188,18 @@ class Model:
         total = weight.sum(axis=1)
         return np.divide(for_it, total, out=np.full(len(best), np.nan), where=total > 0)
 
-    def calibrate(self, vectors: np.ndarray) -> None:
-        """Isotonic rates over the examples' own votes; ``vectors`` in the order of the index."""
-        if not len(vectors):
+    def votes_of(self, counts: list[Counter], skip: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Votes for texts of these terms, and the rows of their nearest examples."""
+        terms, vectors = self.compact(counts)
+        best, rows = self.search(vectors, skip, terms)
+        return self.vote(best, rows), rows
+
+    def calibrate(self, counts: list[Counter]) -> None:
+        """Isotonic rates over the examples' own votes; ``counts`` in the order of the index."""
+        if not counts:
             return
-        pooled = [self.search(vectors[at : at + 512], np.arange(at, min(at + 512, len(vectors)))) for at in range(0, len(vectors), 512)]
-        votes = np.concatenate([self.vote(*found) for found in pooled])
+        lots = range(0, len(counts), QUERIES)
+        votes = np.concatenate([self.votes_of(counts[at : at + QUERIES], np.arange(at, min(at + QUERIES, len(counts))))[0] for at in lots])
         known = ~np.isnan(votes)
         bare = self.labels[~known]
         self.empty_rate = float((bare.sum() + self.labels.mean()) / (len(bare) + 1))
@@ -231,7 +273,7 @@ def _example_counts(vocabulary: dict[str, int]):
     return run
 
 
-def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int = TERMS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
     """Model from the labelled rows (doc_id, toxic) outside the held-out fold and their texts in ``docs``."""
     rows = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(fold(F.col("doc_id")) != HELD_OUT)
     rows = rows.groupBy("doc_id").agg(F.max("toxic").cast("double").alias("toxic"))
@@ -248,26 +290,24 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int
     listed = sample.mapInArrow(_example_terms, "doc_id long, toxic double, terms array<string>")
     a, both = F.sum("toxic"), F.count("*")
     counted = listed.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(a.alias("a"), both.alias("df"))
-    lift = F.col("a") * n - F.col("df") * F.lit(n1)
-    chi = lift * lift / (F.col("df") * (n - F.col("df")) + 1e-9)
-    # bounded by ``terms``
-    best = counted.where((F.col("df") >= LEAST_DF) & (lift > 0)).select("term", chi.alias("chi"))
-    best = best.orderBy(F.desc("chi"), "term").limit(terms).collect()
-    best = [row["term"] for row in best if row["chi"] >= LEAST_SHARE * best[0]["chi"]]
-    vocabulary = {term: i for i, term in enumerate(sorted(best))}
+    # one more text at the common odds, so that a rare term is not taken at its word
+    share = (n1 + 0.5) / (n + 1)
+    odds = F.log((F.col("a") + share) / (F.col("df") - F.col("a") + 1 - share)) - F.log(F.lit(share / (1 - share)))
+    # bounded by the words of the examples
+    best = counted.select("term", odds.alias("odds")).where("odds > 0").orderBy("term").collect()
+    vocabulary = {row["term"]: i for i, row in enumerate(best)}
     df = np.zeros(len(vocabulary) + 1)
     spread = texts.select("text").mapInArrow(_frequencies(vocabulary), "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
     for row in spread.collect():
         df[row["term"] + 1] = row["df"]
-    model = Model(vocabulary, np.log((1 + df[0]) / (1 + df[1:])) + 1)
+    speaks = np.array([row["odds"] for row in best], float)
+    model = Model(vocabulary, (np.log((1 + df[0]) / (1 + df[1:])) + 1) * speaks)
     found = sample.mapInArrow(
         _example_counts(vocabulary), "doc_id long, toxic double, terms array<long>, counts array<long>"
     ).orderBy("doc_id").collect()
-    vectors = model.vectors([Counter(dict(zip(r["terms"], r["counts"], strict=True))) for r in found])
+    counts = [Counter(dict(zip(r["terms"], r["counts"], strict=True))) for r in found]
     ids = np.array([r["doc_id"] for r in found], np.int64)
-    order_of = {i: k for k, i in enumerate(ids.tolist())}
-    model.index(ids, np.array([r["toxic"] for r in found], float), vectors)
-    model.calibrate(vectors[[order_of[i] for i in model.ids.tolist()]] if len(ids) else vectors)
+    model.calibrate(model.index_counts(ids, np.array([r["toxic"] for r in found], float), counts))
     return model
 
 
@@ -275,11 +315,11 @@ def _score(shared: Callable[[], Model]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, memo = shared(), {}
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, QUERIES):
+                part = batch.slice(at, QUERIES)
                 counts = [_counted(t, memo, model.vocabulary) for t in part.column(1).fill_null("").to_pylist()]
-                best, rows = model.search(model.vectors(counts))
-                score = model.scores(model.vote(best, rows))
+                votes, rows = model.votes_of(counts)
+                score = model.scores(votes)
                 near = [[int(model.ids[r]) for r in own[:EVIDENCE] if r >= 0] for own in rows]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(score), pa.array(near, pa.list_(pa.int64()))],
@@ -316,10 +356,10 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, memo = held.value, {}
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
+            for start in range(0, batch.num_rows, QUERIES):
+                part = batch.slice(start, QUERIES)
                 counts = [_counted(t, memo, own.vocabulary) for t in part.column(at).fill_null("").to_pylist()]
-                scores = own.scores(own.vote(*own.search(own.vectors(counts))))
+                scores = own.scores(own.votes_of(counts)[0])
                 yield part.filter(pa.array(scores < THRESHOLD))
 
     return docs.select(*names).mapInArrow(run, docs.schema)
