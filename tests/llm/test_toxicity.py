@@ -52,16 +52,6 @@ def test_held_out_accuracy_and_no_leak(spark):
     assert again == {i: r["score"] for i, r in out.items()}
 
 
-def test_rarer_languages_are_found(spark):
-    sf = "/root/testdata/sf0.1"
-    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet").where("toxic = 1")
-    out = toxicity.report(docs, spark.read.parquet(f"{sf}/labels.parquet")).where("held_out")
-    rows = docs.select("doc_id", "lang").join(labels, "doc_id").join(out, "doc_id")
-    found = {r["lang"]: (r["n"], r["p"]) for r in rows.groupBy("lang").agg({"predicted": "sum", "*": "count"}).toDF("lang", "p", "n").collect()}
-    print("found", found)
-    assert len(found) == 4 and all(p >= 0.8 * n for n, p in found.values())
-
-
 def test_odd_rows(spark):
     rows = [(i, f"you total idiot scum {i}" if i % 3 == 0 else f"a calm and useful note {i}", "x", 0.5) for i in range(60)]
     rows += [(100, None, "x", 0.1), (101, "", "x", 0.1), (102, "idiot " * 20000, "x", 0.1), (0, "you total idiot scum 0", "x", 0.1), (None, "IDIOT!", "x", 0.1)]
