@@ -26,5 +26,32 @@ FROM documents d JOIN reach r USING (doc_id) LEFT JOIN sizes USING (doc_id) GROU
 """
 
 
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP12 = rf"""
+WITH bytes AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+       lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+docs AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+aims AS (SELECT regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+doc_words AS (SELECT doc_id, unnest(w) AS word FROM docs),
+aim_words AS (SELECT unnest(w) AS word FROM aims),
+known AS (SELECT word, hex(word) AS h FROM (SELECT word FROM doc_words UNION SELECT word FROM aim_words)),
+hashed AS (SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(range(0, length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket FROM known, bytes),
+s AS (SELECT bucket, count(*) AS n FROM doc_words JOIN hashed USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM aim_words JOIN hashed USING (word) GROUP BY bucket),
+gain AS (SELECT bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)::DOUBLE
+    / ((s.n + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS g FROM s LEFT JOIN t USING (bucket)),
+weights AS (SELECT doc_id, sum(g) AS weight FROM doc_words JOIN hashed USING (word) JOIN gain USING (bucket) GROUP BY doc_id),
+scored AS (SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+    (coalesce(weight, 0) + floor(-1000.0 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5)::DOUBLE
+    / 4294967296.0::DOUBLE))))::BIGINT AS score FROM docs LEFT JOIN weights USING (doc_id)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20
+    AND place <= (SELECT count(*) * 10 // 100 FROM scored WHERE n_features >= 20) THEN place END::BIGINT AS rank FROM placed
+"""
+
+
 def registered() -> dict[str, str]:
-    return {"op1_minhash_near_dedup": OP1}
+    return {"op1_minhash_near_dedup": OP1, "op12_importance_resampling": OP12}

@@ -14,6 +14,7 @@ from ledgerbrook.llm import (
     mixing,
     near_dedup,
     packing,
+    resampling,
     secrets,
     sharding,
     toxicity,
@@ -63,6 +64,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op1_minhash_near_dedup,
     op2_warc_zstd,
@@ -74,6 +79,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op8_order_minhash,
     op9_source_mixing,
     op10_packing,
+    op12_importance_resampling,
 )
 
 
