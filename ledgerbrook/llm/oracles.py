@@ -53,5 +53,33 @@ SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20
 """
 
 
+OP13 = rf"""
+WITH words AS (SELECT doc_id, row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all({LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+each AS (SELECT r, lang, source, unnest(w) AS term FROM words),
+kept AS (SELECT lang, term, count(*) AS total FROM each GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+sizes AS (SELECT lang, count(k.term) AS v, coalesce(sum(total), 0) AS lang_n
+    FROM (SELECT DISTINCT lang FROM words) LEFT JOIN kept k USING (lang) GROUP BY lang),
+times AS (SELECT lang, source, term, count(*) AS c FROM each SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT lang, source, coalesce(sum(c), 0) AS n FROM (SELECT DISTINCT lang, source FROM words)
+    LEFT JOIN times USING (lang, source) GROUP BY lang, source),
+shares AS (SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c, total,
+    1 + 1000000000::HUGEINT * (coalesce(c, 0) + 2) // (n + 2 * v) AS p,
+    1 + 1000000000::HUGEINT * (total + 2) // (lang_n + 2 * v) AS q
+    FROM groups g JOIN sizes USING (lang) JOIN kept k USING (lang) LEFT JOIN times t
+    ON t.lang = g.lang AND t.source = g.source AND t.term = k.term),
+prices AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN prices x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value
+    FROM shares WHERE c > 0 AND p > q),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+    FROM (FROM pairs UNION ALL FROM terms))
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM placed WHERE part = 'pair' OR rank <= 10
+"""
+
+
 def registered() -> dict[str, str]:
-    return {"op1_minhash_near_dedup": OP1, "op12_importance_resampling": OP12}
+    return {"op1_minhash_near_dedup": OP1, "op12_importance_resampling": OP12, "op13_source_divergence": OP13}

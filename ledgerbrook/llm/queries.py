@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerbrook.llm import (
     ann,
+    divergence,
     fingerprints,
     html_text,
     mixing,
@@ -68,6 +69,10 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op1_minhash_near_dedup,
     op2_warc_zstd,
@@ -80,6 +85,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op9_source_mixing,
     op10_packing,
     op12_importance_resampling,
+    op13_source_divergence,
 )
 
 
