@@ -15,6 +15,7 @@ from ledgerbrook.llm import (
     mixing,
     near_dedup,
     packing,
+    quality,
     resampling,
     secrets,
     sharding,
@@ -65,6 +66,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -84,6 +89,7 @@ QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op8_order_minhash,
     op9_source_mixing,
     op10_packing,
+    op11_quality_classifier,
     op12_importance_resampling,
     op13_source_divergence,
 )
