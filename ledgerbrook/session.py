@@ -58,8 +58,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         if not one_machine:
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors can reach")
+        # remembered by the context, since the setting itself cannot be changed in a running session
         path = tempfile.mkdtemp(prefix="ledgerbrook-")
-        spark.conf.set(CHECKPOINT_CONF, path)
     if named.isEmpty():
         context.setCheckpointDir(path)
     return path
