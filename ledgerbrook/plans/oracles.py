@@ -446,6 +446,9 @@ BODIES = {
         CASE WHEN coalesce(accepted, true) THEN 'InventoryReserved' ELSE 'InventoryRejected' END AS emitted
         FROM charges LEFT JOIN verdicts USING (unit)
         UNION ALL SELECT unit, 'InventoryReleased' FROM charges WHERE pay = 'FAILED'""",
+    "stream_stock": """SELECT p.id AS product_id, p.quantity, CAST(coalesce(held, 0) AS BIGINT) AS reserved_quantity
+        FROM products p LEFT JOIN (SELECT res, sum(addq) AS held FROM lines_saga JOIN verdicts USING (unit)
+            WHERE accepted AND (unit <> 0 OR addq > 0) GROUP BY res) ON res = p.id""",
 }
 BODIES["round_trip_events"] = """SELECT 'order-' || id AS event_id, 'OrderCreated' AS event_type, id AS order_id, customer_id,
         CAST(CAST(total_cents / 100 AS DECIMAL(18,2)) AS DOUBLE) AS total_amount,
@@ -486,6 +489,7 @@ ADMISSIONS = {
     "reserve_orders": "lines_reserve",
     "saga_outcomes": "lines_saga",
     "stream_reservations": "lines_saga",
+    "stream_stock": "lines_saga",
     "intake_outcomes": "lines_intake",
     "business_counters": "lines_intake",
     "emit_order_created": "lines_intake",

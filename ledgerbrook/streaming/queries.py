@@ -41,42 +41,26 @@ def stream_late_events(e: Entities) -> DataFrame:
 
 def _dedupe(e: Entities, deliveries: list[DataFrame]) -> DataFrame:
     run = StreamRun(e.spark, "dedupe")
-    columns = ["event_id", "seq", "attempt", "event_type", "order_id"]
-    run.replay(
-        deliveries,
-        lambda events: ops.once_per_event(events)
-        .select(*columns)
-        .writeStream.format("parquet")
-        .option("path", run.out),
-    )
-    return e.spark.read.schema(
-        "event_id string, seq bigint, attempt bigint, event_type string, order_id bigint"
-    ).parquet(run.out)
+    worker = ops.Dedupe(run, "workflow", ARRIVAL, lambda fresh: fresh.select("event_id", "seq", "attempt", "event_type", "order_id"))
+    run.replay(deliveries, lambda events: events.writeStream.foreachBatch(worker))
+    return run.kept("event_id string, seq bigint, attempt bigint, event_type string, order_id bigint").drop("batch")
 
 
 def stream_order_status(e: Entities) -> DataFrame:
     run = StreamRun(e.spark, "status")
-    run.replay(
-        _deliveries(e),
-        lambda events: ops.status_fold(events, ARRIVAL)
-        .writeStream.outputMode("update")
-        .foreachBatch(run.keep),
-    )
-    return run.latest("order_id bigint, status string, n_changes bigint", ["order_id"])
+    deliveries = _deliveries(e)
+    worker = ops.StatusFold(run, ARRIVAL, deliveries[0])
+    run.replay(deliveries, lambda events: events.writeStream.foreachBatch(worker))
+    return worker.statuses.table(len(deliveries)).drop("at")
 
 
 def stream_payments(e: Entities) -> DataFrame:
     run = StreamRun(e.spark, "payments")
-    run.replay(
-        _deliveries(e),
-        lambda events: ops.payment_outcomes(events)
-        .select("seq", "attempt", "order_id", "amount", "status")
-        .writeStream.format("parquet")
-        .option("path", run.out),
-    )
-    return e.spark.read.schema(
-        "seq bigint, attempt bigint, order_id bigint, amount double, status string"
-    ).parquet(run.out)
+    columns = ["seq", "attempt", "order_id", "amount", "status"]
+    reserved = [rows.where("event_type = 'InventoryReserved'") for rows in _deliveries(e)]
+    worker = ops.Dedupe(run, "payment", ARRIVAL, lambda fresh: ops.payment_outcomes(fresh).select(*columns))
+    run.replay(reserved, lambda events: events.writeStream.foreachBatch(worker))
+    return run.kept("seq bigint, attempt bigint, order_id bigint, amount double, status string").drop("batch")
 
 
 def stream_request_rate(e: Entities) -> DataFrame:
@@ -84,7 +68,7 @@ def stream_request_rate(e: Entities) -> DataFrame:
     log = _zoned(e.request_log()).withColumn("_at", F.unix_seconds("ts"))
     run.replay(
         in_slices(log.select("ts", "_at"), "_at", SLICES),
-        lambda rows: ops.request_cells(rows, 5).writeStream.outputMode("update").foreachBatch(run.keep),
+        lambda rows: ops.request_cells(rows, 5).writeStream.outputMode("update").foreachBatch(run.sink),
     )
     return metrics.spread_cells(run.latest("ts timestamp, n bigint", ["ts"]), 60, 5)
 
@@ -101,19 +85,28 @@ def stream_ttl_lookup(e: Entities) -> DataFrame:
     return run.kept(worker.SERVED, "served").drop("batch")
 
 
-def stream_reservations(e: Entities) -> DataFrame:
-    """The stock worker over OrderCreated and PaymentFailed events, some delivered twice."""
+def _stock_run(e: Entities) -> tuple[StreamRun, ops.StockWorker, int]:
+    """The stock worker over OrderCreated and PaymentFailed events, some delivered twice, and its batches."""
     run = StreamRun(e.spark, "stock")
-    worker = ops.StockWorker(run, e.stock())
     events = _zoned(e.stock_events()).withColumn("_at", F.unix_seconds("occurred_at"))
     again = events.where("order_id % 7 = 0").withColumn("occurred_at", F.col("occurred_at") + F.expr("INTERVAL 1 DAY"))
-    run.replay(
-        [*in_slices(events, "_at", 2), again],
-        lambda rows: ops.once_per_event(rows).writeStream.foreachBatch(worker),
-    )
+    worker = ops.OnceStockWorker(run, e.stock())
+    slices = [*in_slices(events, "_at", 2), again]
+    run.replay(slices, lambda rows: rows.writeStream.foreachBatch(worker))
+    return run, worker, len(slices)
+
+
+def stream_reservations(e: Entities) -> DataFrame:
+    run, worker, _ = _stock_run(e)
     return run.kept(worker.EMITTED, "emitted").drop("batch")
 
 
+def stream_stock(e: Entities) -> DataFrame:
+    """The stock that the stream leaves, put together from its changes."""
+    _, worker, batches = _stock_run(e)
+    return worker.stock(batches)
+
+
 STREAMS = (
     stream_dedupe,
     stream_late_events,
@@ -122,4 +115,5 @@ STREAMS = (
     stream_request_rate,
     stream_ttl_lookup,
     stream_reservations,
+    stream_stock,
 )
