@@ -34,9 +34,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,7 +58,8 @@ ROOM = 4
 SIGNATURE = "doc_id long, text_key long, n_shingles long, cls binary, tokens array<long>, s0 long, s1 long"
 SETS = "cls binary, shingles binary"
 
-_CHUNK = 1 << 21
+_CHUNK = 1 << 17
+_SLICE_ROWS, _SLICE_BYTES = 256, 1 << 22
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -115,10 +118,19 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
+    """The sorted distinct shingle hashes of each text, worked out for few texts at a time."""
+    sizes = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        before = sizes[at - 1] if at else 0
+        fits = int(np.searchsorted(sizes, before + _SLICE_BYTES, "right"))
+        to = min(max(fits, at + 1), at + _SLICE_ROWS)
+        yield from _sets_of(texts.slice(at, to - at), size)
+        at = to
+
+
+def _sets_of(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
     texts = texts.cast(pa.large_string()).fill_null("")
-    if isinstance(texts, pa.ChunkedArray):
-        texts = texts.combine_chunks()
     _, offset_buffer, data_buffer = texts.buffers()
     offsets = np.frombuffer(offset_buffer, np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(data_buffer, np.uint8) if data_buffer else np.zeros(0, np.uint8)
@@ -182,11 +194,12 @@ def _sign(size: int):
 def _full_sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s for s in shingle_sets(batch.column(0), size) if len(s)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([_class_of(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                names=["cls", "shingles"],
-            )
+            found = (s for s in shingle_sets(batch.column(0), size) if len(s))
+            while sets := list(islice(found, _SLICE_ROWS)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([_class_of(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                    names=["cls", "shingles"],
+                )
 
     return run
 
