@@ -4,15 +4,16 @@ Each document is the set of its distinct word shingles. Documents with the same
 set form one class. Classes carry minwise tokens (the minimum of the set under
 fixed hash functions) and a sketch of one bit per function. Independent trees
 branch the classes: a node holds the classes that agree on all tokens chosen on
-the path to it, and chooses further tokens by the hash of its own path. A pair of
+the path to it, and each tree has tokens of its own on the first three levels. A pair of
 similarity s survives each choice with probability s, so with two choices a node
-a pair at 0.75 is lost by one tree with probability 1/9 at most, however deep, and
-by all six with about 2e-6. A node with one class, or whose classes are linked
+a pair at 0.75 is lost by one tree with probability 1/9 at most, and by all six with
+about 2e-6. Deeper levels, which only nodes reach that stay large so long, take tokens
+that other trees used above: there the trees are no longer independent. A node with one class, or whose classes are linked
 already, ends; a small one is compared exhaustively, by sketch up to ``PAIRS``
-classes, in one task on full sets up to ``SMALL``; a larger one branches on. What
-is still large at the greatest depth is compared exhaustively in
-blocks, and so is what is left at any depth once the blocks have a few rows only for
-each class. Every candidate pair is confirmed on full sets.
+classes, on full sets in one task up to ``SMALL`` classes; one whose classes are nearly all of one
+component is compared in blocks against the few others; any other branches on. What is
+still large is compared exhaustively in blocks at the greatest depth, or once the blocks
+have no more than ``ROOM`` rows for each class. Every candidate pair is confirmed on full sets.
 
 Dense groups are folded first: in each node every class is tried against a pivot,
 the class of the smallest doc_id and then one by hash, so a large group of copies
@@ -46,14 +47,15 @@ from ledgerbrook.llm.common import components, keep
 
 TREES = 6
 BRANCHES = 2
-TOKENS = 24
+LEVELS = 3
+TOKENS = TREES * BRANCHES * LEVELS
 SKETCH_BITS = 128
 SKETCH_DIFFERS = 35
 DEPTH = 8
 PAIRS = 64
 SMALL = 1024
 BLOCK_SHINGLES = 1 << 21
-ROOM = 4
+ROOM = 1
 
 SIGNATURE = "doc_id long, text_key long, n_shingles long, cls binary, tokens array<long>, s0 long, s1 long"
 SETS = "cls binary, shingles binary"
@@ -311,10 +313,11 @@ class _Join:
         return pairs.join(a, "a").join(b, "b").where(fits & _near(["a0", "a1"], ["b0", "b1"])).select("a", "b")
 
     def roots(self) -> DataFrame:
-        """The nodes below the root of every tree, as (node, cls)."""
+        """The nodes below the root of every tree, as (tree, node, cls, width)."""
         chosen = [(t, t * BRANCHES + k) for t in range(TREES) for k in range(BRANCHES)]
-        nodes = F.array(*(F.xxhash64(F.lit(t), F.lit(p), F.col("tokens")[p]) for t, p in chosen))
-        return self.classes.select(F.explode(nodes).alias("node"), "cls", F.col("n_shingles").alias("width"))
+        node = lambda t, p: F.xxhash64(F.lit(t), F.lit(p), F.col("tokens")[p]).alias("node")
+        nodes = F.array(*(F.struct(F.lit(t).alias("tree"), node(t, p)) for t, p in chosen))
+        return self.classes.select(F.inline(nodes), "cls", F.col("n_shingles").alias("width"))
 
     def stars(self, rows: DataFrame, grouped: DataFrame | None, pivot: Column) -> DataFrame:
         """Pairs (a, b): each class of a node with the pivot, the least by ``pivot``, unless they are linked already."""
@@ -324,14 +327,15 @@ class _Join:
         met = named.join(centre.select("node", F.col("m.at.cls").alias("a"), F.col("m.at.root").alias("other")), "node")
         return met.where("root != other").select("a", F.col("cls").alias("b")).distinct()
 
-    def children(self, rows: DataFrame) -> DataFrame:
-        """The nodes that rows (node, cls) go to next: two tokens, chosen by the node."""
-        one = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(TOKENS))
-        two = F.pmod(one + 1 + F.pmod(F.xxhash64("node", F.lit(2)), F.lit(TOKENS - 1)), F.lit(TOKENS))
-        below = F.array(*(F.xxhash64("node", p, F.element_at("tokens", (p + 1).cast("int"))) for p in (one, two)))
-        return rows.join(self.classes.select("cls", "tokens"), "cls").select(
-            F.explode(below).alias("node"), "cls", "width"
-        ).distinct()
+    def children(self, rows: DataFrame, depth: int) -> DataFrame:
+        """The nodes that rows (tree, node, cls, width) go to next: two tokens, of the tree's own on the first levels.
+
+        Deeper down they are those that another tree has used above, so no path meets a token twice.
+        """
+        turn = F.pmod(F.col("tree") + depth // LEVELS, F.lit(TREES))
+        first = turn * BRANCHES + TREES * BRANCHES * (depth % LEVELS)
+        below = F.array(*(F.xxhash64("node", first + k, F.element_at("tokens", first + k + 1)) for k in range(BRANCHES)))
+        return rows.join(self.classes.select("cls", "tokens"), "cls").select("tree", F.explode(below).alias("node"), "cls", "width")
 
     def exhaustive(self, rows: DataFrame) -> DataFrame:
         """Pairs of different components in each small node, by sketch."""
@@ -348,12 +352,12 @@ class _Join:
 def _cells(rows: DataFrame) -> DataFrame:
     """Rows (node, n, top, root_count, cls, root) of nodes of any size, repeated into cells of bounded size.
 
-    Members of the largest component of a node need no comparison among themselves:
+    A node that fits is one cell. Members of the largest component of a node need no comparison among themselves:
     their blocks meet those of the others (low at 0 or above), and the blocks of the
     others meet each other (low below 0).
     """
     major = F.col("root") == F.col("top")
-    blocks, others = _block_counts()
+    rows_of_cell, blocks, others = _block_counts()
     own = F.pmod(F.xxhash64("cls"), F.when(major, blocks).otherwise(others)).cast("int")
     cell = lambda low, high: F.struct(low.cast("int").alias("low"), high.cast("int").alias("high"))
     upto = lambda n: F.sequence(F.lit(0), n - 1)
@@ -363,15 +367,17 @@ def _cells(rows: DataFrame) -> DataFrame:
             F.transform(upto(others), lambda o: cell(-1 - F.least("_own", o), F.greatest("_own", o))),
         )
     )
+    whole = F.array(cell(F.lit(0), F.lit(0)))
+    met = F.when(F.col("n") <= rows_of_cell, whole).otherwise(met)
     spread = rows.withColumn("_own", own).select("node", "cls", "root", "top", F.explode(met).alias("c"))
     return spread.select("node", "c.low", "c.high", "cls", "root", "top")
 
 
-def _block_counts() -> tuple[Column, Column]:
-    """How many blocks the largest component of a node and the rest of it make."""
+def _block_counts() -> tuple[Column, Column, Column]:
+    """The rows of a block, and how many blocks the largest component of a node and the rest of it make."""
     rows = F.greatest(F.lit(1), F.least(F.lit(SMALL), F.floor(F.lit(BLOCK_SHINGLES) / F.col("widest"))))
     size = lambda n: F.greatest(F.ceil(n / rows), F.lit(1)).cast("int")
-    return size(F.col("root_count")), size(F.col("n") - F.col("root_count"))
+    return rows, size(F.col("root_count")), size(F.col("n") - F.col("root_count"))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
@@ -385,16 +391,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     found = keep(join.roots(), "nodes")
     # a node with one class leads nowhere
     crowd = found.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
-    found = keep(found.join(crowd, "node"), "nodes")
+    found = keep(found.join(crowd, "node"), "nodes").select("tree", "node", "cls", "width")
     links = grouped = None
     for pivot in (F.struct("doc_id", "cls"), F.struct(F.xxhash64("node", "cls"), "cls")):
         more = join.confirmed(join.sketched(join.stars(found, grouped, pivot)))
         links = links.union(more) if links else more
         grouped = components(links)
     small, cells = [], []
-    # what may be compared exhaustively at once: a few rows for each class
+    # what may be compared in blocks at once: as many rows as there are classes
     room = ROOM * join.classes.count()
-    for depth in range(DEPTH):
+    for depth in range(1, DEPTH + 1):
         labelled = _labelled(found, grouped)
         roots = labelled.groupBy("node", "root").agg(F.count("*").alias("c"), F.max("width").alias("width"))
         stats = roots.groupBy("node").agg(
@@ -404,17 +410,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
             "node", "n", "widest", F.col("m.c").alias("root_count"), F.col("m.root").alias("top")
         )
         labelled = keep(labelled.join(stats, "node"), "nodes")
-        blocks, others = _block_counts()
+        crowded = F.col("n") > PAIRS
+        # blocks of the largest component against one block of all others: rows in proportion to the node
+        _, blocks, others = _block_counts()
+        onward = crowded & (others > 1)
         copies = F.when(F.col("root") == F.col("top"), others).otherwise(blocks + others)
-        large = F.col("n") > SMALL
-        cost = labelled.agg(F.sum(F.when(large, copies))).first()[0] or 0
-        if cost <= room or depth == DEPTH - 1:
-            small.append(labelled.where(F.col("n") <= PAIRS))
-            cells.append(_cells(labelled.where(F.col("n") > PAIRS)))
+        cost = labelled.agg(F.sum(F.when(onward, copies))).first()[0] or 0
+        small.append(labelled.where(~crowded))
+        if cost <= room or depth == DEPTH:
+            cells.append(_cells(labelled.where(crowded)))
             break
-        small.append(labelled.where(F.col("n") <= PAIRS))
-        cells.append(_cells(labelled.where(~large & (F.col("n") > PAIRS))))
-        found = keep(join.children(labelled.where(large).select("node", "cls", "width")), "nodes")
+        cells.append(_cells(labelled.where(crowded & ~onward)))
+        found = keep(join.children(labelled.where(onward).select("tree", "node", "cls", "width"), depth), "nodes")
     links = links.union(join.confirmed(join.exhaustive(reduce(DataFrame.union, small))))
     links = links.union(join.compared(reduce(DataFrame.union, cells)))
     groups = _labelled(join.classes.select("cls", "doc_id"), components(links))
