@@ -48,6 +48,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one value: beside it, no helper column can meet a column of the caller."""
+    return F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in df.columns)).alias("row")
+
+
 def words(text: Column) -> Column:
     """Words of a text as an array; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SEPARATORS), "")

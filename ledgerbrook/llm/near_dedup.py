@@ -15,8 +15,8 @@ component is compared in blocks against the few others; any other branches on. W
 still large is compared exhaustively in blocks at the greatest depth, or once the blocks
 have no more than ``ROOM`` rows for each class. Every candidate pair is confirmed on full sets.
 
-Dense groups are folded first: in each node every class is tried against a pivot,
-the class of the smallest doc_id and then one by hash, so a large group of copies
+Dense groups are folded first: in each node every class is tried against two pivots,
+the class of the smallest doc_id and one by hash, so a large group of copies
 is one component, or few, before any exhaustive comparison, and pairs inside a
 component are never listed.
 
@@ -43,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerbrook.llm.common import components, keep
+from ledgerbrook.llm.common import components, keep, whole_row
 
 TREES = 6
 BRANCHES = 2
@@ -319,13 +319,13 @@ class _Join:
         nodes = F.array(*(F.struct(F.lit(t).alias("tree"), node(t, p)) for t, p in chosen))
         return self.classes.select(F.inline(nodes), "cls", F.col("n_shingles").alias("width"))
 
-    def stars(self, rows: DataFrame, grouped: DataFrame | None, pivot: Column) -> DataFrame:
-        """Pairs (a, b): each class of a node with the pivot, the least by ``pivot``, unless they are linked already."""
+    def stars(self, rows: DataFrame, pivots: list[Column]) -> DataFrame:
+        """Pairs (a, b): each class of a node with each of its pivots, the least ones by ``pivots``."""
         named = rows.join(self.classes.select("cls", "doc_id"), "cls")
-        named = _labelled(named, grouped) if grouped else named.withColumn("root", F.col("cls"))
-        centre = named.groupBy("node").agg(F.min(F.struct(pivot.alias("by"), F.struct("cls", "root").alias("at"))).alias("m"))
-        met = named.join(centre.select("node", F.col("m.at.cls").alias("a"), F.col("m.at.root").alias("other")), "node")
-        return met.where("root != other").select("a", F.col("cls").alias("b")).distinct()
+        least = [F.min(F.struct(p.alias("by"), "cls"))["cls"] for p in pivots]
+        centre = named.groupBy("node").agg(F.array_distinct(F.array(*least)).alias("centres"))
+        met = rows.join(centre, "node").select(F.explode("centres").alias("a"), F.col("cls").alias("b"))
+        return met.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def children(self, rows: DataFrame, depth: int) -> DataFrame:
         """The nodes that rows (tree, node, cls, width) go to next: two tokens, of the tree's own on the first levels.
@@ -392,11 +392,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     # a node with one class leads nowhere
     crowd = found.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
     found = keep(found.join(crowd, "node"), "nodes").select("tree", "node", "cls", "width")
-    links = grouped = None
-    for pivot in (F.struct("doc_id", "cls"), F.struct(F.xxhash64("node", "cls"), "cls")):
-        more = join.confirmed(join.sketched(join.stars(found, grouped, pivot)))
-        links = links.union(more) if links else more
-        grouped = components(links)
+    pivots = [F.struct("doc_id", "cls"), F.struct(F.xxhash64("node", "cls"), "cls")]
+    links = join.confirmed(join.sketched(join.stars(found, pivots)))
+    grouped = components(links)
     small, cells = [], []
     # what may be compared in blocks at once: as many rows as there are classes
     room = ROOM * join.classes.count()
@@ -447,15 +445,14 @@ def representatives(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     first = F.row_number().over(Window.partitionBy("group_key").orderBy("text_key"))
     ones = found.where("kept AND group_key IS NOT NULL").withColumn("_n", first).where("_n = 1")
     bare = found.where("group_key IS NULL").distinct()
-    wanted = ones.select("doc_id", "text_key", F.lit(True).alias("_one")).unionByName(
-        bare.select("doc_id", "text_key", F.lit(False).alias("_one"))
+    wanted = ones.select("doc_id", "text_key", F.lit(True).alias("one")).unionByName(
+        bare.select("doc_id", "text_key", F.lit(False).alias("one"))
     )
-    wanted = wanted.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
-    keyed = docs.withColumn("_own", _text_key())
-    met = keyed.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_own").eqNullSafe(F.col("_key")))
-    place = F.row_number().over(Window.partitionBy("doc_id", "_own").orderBy("text"))
+    keyed = docs.select(whole_row(docs), F.col("doc_id").alias("id"), _text_key().alias("key"))
+    met = keyed.join(wanted, F.col("id").eqNullSafe(F.col("doc_id")) & F.col("key").eqNullSafe(F.col("text_key")))
+    place = F.row_number().over(Window.partitionBy("id", "key").orderBy("row.text"))
     # repeated rows meet one wanted row each: keep the first, unless they have no words
-    return met.withColumn("_place", place).where("_place = 1 OR NOT _one").select(*docs.columns)
+    return met.withColumn("place", place).where("place = 1 OR NOT one").select("row.*")
 
 
 def _labelled(rows: DataFrame, grouped: DataFrame) -> DataFrame:
