@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerbrook.llm.common import keep, ranked, words
+from ledgerbrook.llm.common import keep, ranked, whole_row, words
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
@@ -124,11 +124,11 @@ def rounded(classes: pd.DataFrame) -> pd.DataFrame:
 
 
 def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """``rows`` (doc_id, source, _size, anything else) with _source_size, _target and _copies."""
+    """``rows`` (doc_id, source, _size, _mark, anything else) with _source_size, _target and _copies."""
     sid = F.when(F.col("source").isNull(), "null").otherwise(F.concat(F.lit("="), "source"))
-    # the order inside a class depends on the number alone, so reruns agree
+    # the order inside a class depends on the number and the text alone, so reruns agree
     keyed = rows.withColumns({"_sid": sid, "_order": F.xxhash64("doc_id")})
-    placed = ranked(keyed, [F.col(c) for c in ("_sid", "_size", "_order", "doc_id")])
+    placed = ranked(keyed, [F.col(c) for c in ("_sid", "_size", "_order", "doc_id", "_mark")])
     classes = placed.groupBy("_sid", "_size").agg(
         F.first("source").alias("source"), F.count("*").alias("n"), F.min("_rank").alias("first")
     )
@@ -171,8 +171,9 @@ def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) ->
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_size``, the number of words of the text."""
-    return docs.withColumn("_size", F.size(words(F.col("text"))).cast("long"))
+    """``docs`` with ``_size``, the number of words of the text, and ``_mark``, which tells texts of one doc_id apart."""
+    size = F.size(words(F.col("text"))).cast("long")
+    return docs.withColumns({"_size": size, "_mark": F.xxhash64(F.coalesce("text", F.lit("")))})
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -189,5 +190,6 @@ def report(docs: DataFrame) -> DataFrame:
 
 def resampled(docs: DataFrame) -> DataFrame:
     """``docs`` with each row as often as the mix takes it."""
-    mixed = mix(sized(docs)).where("_copies > 0")
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    rows = sized(docs.select(whole_row(docs), "doc_id", "source", "text")).drop("text")
+    mixed = mix(rows).where("_copies > 0")
+    return mixed.select("row", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("row.*")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerbrook.llm.common import keep, ranked
+from ledgerbrook.llm.common import keep, ranked, whole_row
 from ledgerbrook.llm.ngram_hash import Scan, byte_table
 
 ORDERS = 1
@@ -157,7 +157,7 @@ def drawn(
 ) -> DataFrame:
     """The rows of ``docs`` that are drawn, with all their columns; rows equal to the last one drawn in score and
     doc_id are drawn too."""
-    out = _scored(docs, target, F.struct(*[F.col(f"`{c}`") for c in docs.columns]), "carried.doc_id", orders, buckets, seed)
+    out = _scored(docs, target, whole_row(docs), "carried.doc_id", orders, buckets, seed)
     out = keep(out.where(F.col("n_words") >= least).drop("n_words", "n_features", "weight"), "weighed")
     room = out.count() * percent // 100
     keys = out.select("score", F.col("carried.doc_id").alias("doc_id"))

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerbrook.llm.common import keep, let
+from ledgerbrook.llm.common import keep, let, whole_row
 
 SCOPE = 200
 
@@ -169,7 +169,7 @@ def redact(docs: DataFrame, mark: str = "[REDACTED]", scope: int = SCOPE) -> Dat
     """``docs`` with every span of its texts replaced by ``mark``; n_chars follows; nothing else changes."""
     key = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
     hits = scan(docs, scope).where(F.size("spans") > 0).dropDuplicates(["doc_key"])
-    hits = hits.select(F.col("doc_key").alias("_key"), F.col("spans").alias("_spans"))
+    hits = hits.select(F.col("doc_key").alias("key"), "spans")
 
     def cleaned(text: Column, spans: Column) -> Column:
         first = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
@@ -182,11 +182,11 @@ def redact(docs: DataFrame, mark: str = "[REDACTED]", scope: int = SCOPE) -> Dat
         rest = lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
         return F.aggregate(spans, first, step, rest)
 
-    out = docs.withColumn("_key", key).join(hits, "_key", "left")
-    fixed = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cleaned(F.col("text"), F.col("_spans")))
-    out = out.withColumn("text", fixed)
+    out = docs.select(whole_row(docs), "text", key.alias("key")).join(hits, "key", "left")
+    hit = F.col("spans").isNotNull()
+    out = out.withColumn("text", F.when(hit, cleaned(F.col("text"), F.col("spans"))).otherwise(F.col("text")))
+    row = F.col("row").withField("text", F.col("text"))
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
-        changed = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind))
-        out = out.withColumn("n_chars", changed)
-    return out.select(*docs.columns)
+        row = row.withField("n_chars", F.when(hit, F.length("text").cast(kind)).otherwise(F.col("row.n_chars")))
+    return out.select(row.alias("row")).select("row.*")
