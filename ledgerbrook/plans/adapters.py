@@ -345,6 +345,19 @@ class Entities:
             F.col("o_orderkey").alias("event_key"), F.col("o_orderdate").alias("arrival"), amount.alias("amount")
         )
 
+    def arriving_orders(self) -> DataFrame:
+        """Orders as the chained stages take them, numbered from 1: 0 counts as no order."""
+        lines = self.items().groupBy("request_id").agg(
+            F.collect_list(F.struct("product_id", "quantity")).alias("items")
+        )
+        orders = self.order_events().join(lines, F.col("event_key") == F.col("request_id"), "left")
+        return orders.select(
+            (F.col("event_key") + 1).alias("order_id"),
+            F.col("arrival").alias("occurred_at"),
+            F.col("amount").alias("total_amount"),
+            "items",
+        )
+
     def stock_events(self) -> DataFrame:
         """OrderCreated with its items, and PaymentFailed an hour later where the charge is declined."""
         lines = self.items().groupBy("request_id").agg(

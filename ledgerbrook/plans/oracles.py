@@ -147,6 +147,17 @@ ADAPTERS = {
         FROM rolled r JOIN requests USING (request_id) JOIN charges c ON c.unit = request_id
             LEFT JOIN products p ON p.id = r.product_id
         WHERE pay = 'FAILED'""",
+    "slices": """SELECT min(epoch(o_orderdate))::BIGINT AS low,
+        (max(epoch(o_orderdate))::BIGINT - min(epoch(o_orderdate))::BIGINT) // 2 + 1 AS width FROM orders""",
+    "lines_chain": """SELECT request_id AS unit, product_id AS res, arrival AS t, r.largest AS test,
+            r.quantity AS addq, p.quantity AS cap
+        FROM rolled r JOIN requests USING (request_id) LEFT JOIN products p ON p.id = r.product_id
+        UNION ALL
+        SELECT request_id, product_id, make_timestamp((low + ((epoch(arrival)::BIGINT - low) // width + 1) * width)
+            * 1000000 - 500000), NULL, -r.quantity, p.quantity
+        FROM rolled r JOIN requests USING (request_id) JOIN charges c ON c.unit = request_id
+            LEFT JOIN products p ON p.id = r.product_id, slices
+        WHERE pay = 'FAILED'""",
     "intake": """SELECT c.*, v.accepted, h.request_id AS holder,
             (h.arrival, h.request_id) <= (c.arrival, c.request_id) AS answered,
             f.product_id AS bad_product, f.code AS bad_code, worth
@@ -479,6 +490,7 @@ BODIES |= {
         || '"}' AS series, CAST(count(*) OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts, event_id
             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS value FROM events""",
 }
+BODIES["stream_saga"] = BODIES["saga_outcomes"]
 BODIES["stream_late_events"] = BODIES["stream_dedupe"]
 BODIES["stream_request_rate"] = BODIES["request_rate"]
 BODIES["stream_ttl_lookup"] = BODIES["asof_with_ttl"]
@@ -490,6 +502,7 @@ ADMISSIONS = {
     "saga_outcomes": "lines_saga",
     "stream_reservations": "lines_saga",
     "stream_stock": "lines_saga",
+    "stream_saga": "lines_chain",
     "intake_outcomes": "lines_intake",
     "business_counters": "lines_intake",
     "emit_order_created": "lines_intake",

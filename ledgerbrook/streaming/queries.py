@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerbrook.operators import metrics
 from ledgerbrook.plans.adapters import ARRIVAL, Entities
 from ledgerbrook.streaming import operators as ops
+from ledgerbrook.streaming.chain import Saga
 from ledgerbrook.streaming.runtime import StreamRun, in_slices
 
 SLICES = 4
@@ -107,6 +108,14 @@ def stream_stock(e: Entities) -> DataFrame:
     return worker.stock(batches)
 
 
+def stream_saga(e: Entities) -> DataFrame:
+    """Orders through four chained stages; what is released is free from the next slice on."""
+    saga = Saga(e.spark, e.stock())
+    orders = _zoned(e.arriving_orders()).withColumn("_at", F.unix_seconds("occurred_at"))
+    saga.replay(rows.drop("_at") for rows in in_slices(orders, "_at", 2))
+    return saga.outcomes().select((F.col("order_id") - 1).alias("event_key"), "stock_event", "payment_event", "status", "released")
+
+
 STREAMS = (
     stream_dedupe,
     stream_late_events,
@@ -116,4 +125,5 @@ STREAMS = (
     stream_ttl_lookup,
     stream_reservations,
     stream_stock,
+    stream_saga,
 )
