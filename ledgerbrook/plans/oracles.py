@@ -101,7 +101,7 @@ ADAPTERS = {
         CAST(CAST(p.price AS DECIMAL(18,2)) * i.quantity AS DOUBLE) AS line_total
         FROM items i LEFT JOIN gappy p ON p.id = i.product_id""",
     "ledger": """SELECT row_number() OVER (ORDER BY occurred_at, seq, attempt) AS payment_id, event_id, seq,
-        correlation_id, order_id, amount, attempt,
+        correlation_id, order_id, amount, attempt, occurred_at,
         CASE WHEN amount <= 0 OR amount = 9999.0 THEN 'FAILED' ELSE 'COMPLETED' END AS status
         FROM once WHERE event_type = 'InventoryReserved' AND order_id <> 0""",
     "documents_of": """SELECT r.request_id AS id, customer_id,
@@ -490,6 +490,58 @@ BODIES |= {
         || '"}' AS series, CAST(count(*) OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts, event_id
             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS value FROM events""",
 }
+ISO = "strftime({}, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00\"'"
+_ID = """'{{"event_id":"' || {id} || '","event_type":"' || {kind} || '","occurred_at":"' || {at}
+        || ',"correlation_id":"' || {corr} || '","payload":{{"order_id":' || {order} ||"""
+
+
+def _head(kind: str, id: str, at: str, corr: str, order: str) -> str:
+    """The text of a body up to the first payload field."""
+    return _ID.format(kind=kind, id=id, at=ISO.format(at), corr=corr, order=order)
+
+
+_OWN = {"corr": "'corr-' || unit", "order": "unit"}
+BODIES["emit_inventory_events"] = f"""WITH told AS (FROM ({BODIES["reserve_orders"]}) r JOIN charges c ON c.unit = r.order_id
+        JOIN orders ON o_orderkey = unit JOIN documents_of d ON d.id = unit)
+    SELECT 'inventory-events' AS exchange, 'inventory.reserved' AS routing_key,
+        {_head("'InventoryReserved'", "'stock-' || unit", "t", **_OWN)}
+        ',"amount":' || CASE WHEN unit % 37 = 0 THEN 9999.0 ELSE o_totalprice END || ',"items":' || short_items || '}}}}' AS body
+        FROM told WHERE accepted
+    UNION ALL SELECT 'inventory-events', 'inventory.rejected',
+        {_head("'InventoryRejected'", "'stock-' || unit", "t", **_OWN)} ',"reason":"' || reason || '"}}}}'
+        FROM told WHERE NOT accepted
+    UNION ALL SELECT 'inventory-events', 'inventory.released',
+        {_head("'InventoryReleased'", "'release-' || unit", "t + INTERVAL 1 HOUR", **_OWN)} '}}}}'
+        FROM told WHERE accepted AND pay = 'FAILED' AND unit <> 0"""
+_PAID = _head(
+    "CASE status WHEN 'FAILED' THEN 'PaymentFailed' ELSE 'PaymentCompleted' END", "'payment-' || payment_id",
+    "occurred_at", "correlation_id", "order_id",
+)
+BODIES["emit_payment_events"] = f"""SELECT 'payment-events' AS exchange,
+        CASE status WHEN 'FAILED' THEN 'payment.failed' ELSE 'payment.completed' END AS routing_key,
+        {_PAID} ',"payment_id":' || payment_id || ',"amount":' || amount
+        || CASE status WHEN 'FAILED' THEN ',"reason":"Payment declined"' ELSE '' END || '}}}}' AS body FROM ledger"""
+BODIES["round_trip_all"] = """SELECT seq,
+        CASE how WHEN 'text' THEN NULL WHEN 'list' THEN 'PaymentFailed' WHEN 'null' THEN 'InventoryReserved' ELSE event_type END AS event_type,
+        CASE WHEN how = 'sent' THEN order_id END AS order_id,
+        CASE WHEN how = 'sent' AND event_type = 'OrderCreated' THEN order_id % 100 END AS customer_id,
+        CASE WHEN how = 'sent' AND event_type = 'OrderCreated' THEN amount END AS total_amount,
+        CASE WHEN how = 'sent' AND event_type IN ('InventoryReserved', 'PaymentCompleted', 'PaymentFailed') THEN amount END AS amount,
+        CASE WHEN how = 'sent' AND event_type IN ('PaymentCompleted', 'PaymentFailed') THEN seq END AS payment_id,
+        CASE WHEN how = 'sent' AND event_type IN ('InventoryRejected', 'PaymentFailed') THEN 'because' END AS reason,
+        CASE WHEN how = 'sent' AND event_type IN ('OrderCreated', 'InventoryReserved') THEN amount END AS charge,
+        CASE how WHEN 'text' THEN 'UNDECODABLE' WHEN 'list' THEN 'WRONG_SHAPE' WHEN 'null' THEN 'NULL_AMOUNT'
+            WHEN 'other' THEN 'UNKNOWN_TYPE' END AS quarantine_reason
+        FROM (SELECT *, CASE WHEN seq % 101 = 0 THEN 'text' WHEN seq % 103 = 0 THEN 'list' WHEN seq % 107 = 0 THEN 'null'
+            WHEN event_type = 'SomethingHappened' THEN 'other' ELSE 'sent' END AS how FROM env WHERE attempt = 0)"""
+BODIES["stream_causes"] = """WITH asked AS (SELECT order_id, seq, occurred_at FROM env WHERE attempt = 0 AND event_type = 'OrderCreated'),
+    told AS (SELECT order_id, seq, occurred_at FROM env WHERE attempt = 0
+        AND event_type IN ('InventoryReserved', 'InventoryRejected')),
+    met AS (SELECT c.order_id, c.seq AS cause, a.seq AS effect FROM asked c JOIN told a ON a.order_id = c.order_id
+        AND a.occurred_at BETWEEN c.occurred_at AND c.occurred_at + INTERVAL 30 DAY)
+    SELECT order_id, cause, effect, 'answered' AS outcome FROM met
+    UNION ALL SELECT order_id, seq, NULL, 'timed_out' FROM asked WHERE seq NOT IN (SELECT cause FROM met)
+    UNION ALL SELECT order_id, NULL, seq, 'unexplained' FROM told WHERE seq NOT IN (SELECT effect FROM met)"""
 BODIES["stream_saga"] = BODIES["saga_outcomes"]
 BODIES["stream_late_events"] = BODIES["stream_dedupe"]
 BODIES["stream_request_rate"] = BODIES["request_rate"]
@@ -506,6 +558,7 @@ ADMISSIONS = {
     "intake_outcomes": "lines_intake",
     "business_counters": "lines_intake",
     "emit_order_created": "lines_intake",
+    "emit_inventory_events": "lines_reserve",
     "round_trip_events": "lines_intake",
 }
 
@@ -525,9 +578,11 @@ def _sql(name: str, body: str) -> str:
     for adapter, text in ADAPTERS.items():
         if adapter in found:
             (after if adapter in ("intake", "outcomes") else before).append(f"{adapter} AS ({text})")
+    own = body.removeprefix("WITH ")
+    joint = " " if own == body else ", "
     if lines:
-        return f"WITH RECURSIVE {', '.join([*before, ROUNDS.format(lines=lines), *after])} {body}"
-    return f"WITH {', '.join(before)} {body}" if before else body
+        return f"WITH RECURSIVE {', '.join([*before, ROUNDS.format(lines=lines), *after])}{joint}{own}"
+    return f"WITH {', '.join(before)}{joint}{own}" if before else body
 
 
 def registered() -> dict[str, str]:

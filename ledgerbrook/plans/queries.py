@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerbrook.functions.defaults import with_defaults
-from ledgerbrook.functions.scalars import choose, duration_ms
+from ledgerbrook.functions.scalars import choose, duration_ms, payment_status, present_id
 from ledgerbrook.operators import (
     access,
     admission,
@@ -26,7 +26,7 @@ from ledgerbrook.operators import (
 from ledgerbrook.plans.adapters import ARRIVAL, Entities
 from ledgerbrook.schemas import PRODUCTS
 from ledgerbrook.session import run_dir
-from ledgerbrook.sources import envelopes, samples, tables
+from ledgerbrook.sources import bodies, envelopes, samples, tables
 from ledgerbrook.streaming import queries as streams
 
 Query = Callable[[Entities], DataFrame]
@@ -90,6 +90,69 @@ def round_trip_events(e: Entities) -> DataFrame:
     )
 
 
+def emit_inventory_events(e: Entities) -> DataFrame:
+    """What the stock worker sends: reserved with amount and items, rejected with the reason, released."""
+    verdicts = inventory.reserve(e.event_items(placed=True), e.stock(gappy=True)).withColumnRenamed("emitted", "event_type")
+    lines = F.sort_array(F.collect_list(F.struct("pos", "product_id", "quantity")))
+    items = e.placed_items().groupBy(F.col("request_id").alias("event_key")).agg(lines.alias("_items"))
+    told = verdicts.join(e.order_events(), "event_key").join(items, "event_key")
+    key = F.col("event_key").cast("string")
+    yes = F.col("event_type") == "InventoryReserved"
+    answers = told.select(
+        F.concat(F.lit("stock-"), key).alias("event_id"),
+        "event_type",
+        F.col("arrival").alias("occurred_at"),
+        F.concat(F.lit("corr-"), key).alias("correlation_id"),
+        F.col("event_key").alias("order_id"),
+        F.when(yes, F.col("amount")).alias("amount"),
+        F.when(yes, F.transform("_items", lambda x: F.struct(x.product_id.alias("product_id"), x.quantity.alias("quantity")))).alias("items"),
+        "reason",
+    )
+    failed = told.where(yes & (payment_status(F.col("amount")) == "FAILED") & present_id(F.col("event_key")))
+    released = failed.select(
+        F.concat(F.lit("release-"), key).alias("event_id"),
+        F.lit("InventoryReleased").alias("event_type"),
+        (F.col("arrival") + F.expr("INTERVAL 1 HOUR")).alias("occurred_at"),
+        F.concat(F.lit("corr-"), key).alias("correlation_id"),
+        F.col("event_key").alias("order_id"),
+    )
+    return bodies.published(answers.unionByName(released, allowMissingColumns=True))
+
+
+def emit_payment_events(e: Entities) -> DataFrame:
+    """What the payment worker sends: completed, or failed with the reason, each with its payment id."""
+    rows = _ledger(e)
+    failed = F.col("status") == "FAILED"
+    return bodies.published(
+        rows.select(
+            F.concat(F.lit("payment-"), F.col("payment_id").cast("string")).alias("event_id"),
+            F.when(failed, "PaymentFailed").otherwise("PaymentCompleted").alias("event_type"),
+            "occurred_at", "correlation_id", "order_id", "payment_id", "amount",
+            F.when(failed, "Payment declined").alias("reason"),
+        )
+    )
+
+
+def round_trip_all(e: Entities) -> DataFrame:
+    """Bodies of all six types, of an unknown type and broken ones, read back by the schema of their type."""
+    rows = e.envelopes(False).withColumns(
+        {"total_amount": F.col("amount"), "payment_id": F.col("seq"), "reason": F.lit("because"), "customer_id": F.col("order_id") % 100}
+    )
+    other = F.to_json(F.struct("event_id", "event_type", F.struct("order_id").alias("payload")))
+    nulled = F.concat(F.lit('{"event_type":"InventoryReserved","event_id":"'), F.coalesce("event_id", F.lit("")), F.lit('","payload":{"amount":null}}'))
+    sent = bodies.filled(rows).select(
+        "seq",
+        F.when(F.col("seq") % 101 == 0, "not json")
+        .when(F.col("seq") % 103 == 0, '{"event_type":"PaymentFailed","payload":[]}')
+        .when(F.col("seq") % 107 == 0, nulled)
+        .otherwise(F.coalesce(bodies.body(), other))
+        .alias("body"),
+    )
+    return bodies.parse(sent).select(
+        "seq", "event_type", "order_id", "customer_id", "total_amount", "amount", "payment_id", "reason", "charge", "quarantine_reason"
+    )
+
+
 def scan_products(e: Entities) -> DataFrame:
     return e.products()
 
@@ -499,7 +562,8 @@ def error_rate_zero_filled(e: Entities) -> DataFrame:
 
 
 BATCH: tuple[Query, ...] = (
-    parse_envelopes, quarantine_counts, emit_order_created, round_trip_events, scan_products, parse_logs, render_logs,
+    parse_envelopes, quarantine_counts, emit_order_created, round_trip_events, emit_inventory_events, emit_payment_events,
+    round_trip_all, scan_products, parse_logs, render_logs,
     metrics_snapshot, seed_if_absent,
     lookup_keys, customer_public, validate_products, validate_requests, validate_emails, order_access,
     role_access, trace_defaults, log_severity, order_errors, dispatch_inventory,

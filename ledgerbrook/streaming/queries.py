@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from ledgerbrook.operators import metrics
 from ledgerbrook.plans.adapters import ARRIVAL, Entities
@@ -116,6 +117,29 @@ def stream_saga(e: Entities) -> DataFrame:
     return saga.outcomes().select((F.col("order_id") - 1).alias("event_key"), "stock_event", "payment_event", "status", "released")
 
 
+def stream_causes(e: Entities) -> DataFrame:
+    """Orders and the stock answers to them within 30 days, joined while both arrive.
+
+    Two closing slices far ahead, a pair each that meets nothing, bring the watermark past the last row.
+    """
+    run = StreamRun(e.spark, "causes")
+    events = _zoned(e.envelopes(False)).select("order_id", "seq", "occurred_at", "event_type")
+    events = events.withColumn("_at", F.unix_seconds("occurred_at"))
+    ends = [
+        e.spark.createDataFrame([(-1, -1, n, "OrderCreated"), (-2, -2, n, "InventoryReserved")], "order_id bigint, seq bigint, n bigint, event_type string")
+        .select("order_id", "seq", F.timestamp_seconds(F.lit(4_000_000_000) + F.col("n")).alias("occurred_at"), "event_type")
+        for n in (0, 100_000_000)
+    ]
+
+    def start(rows: DataFrame) -> DataStreamWriter:
+        asked = rows.where("event_type = 'OrderCreated'")
+        told = rows.where("event_type IN ('InventoryReserved', 'InventoryRejected')")
+        return ops.causes(asked, told, "INTERVAL 30 DAYS").writeStream.foreachBatch(run.sink)
+
+    run.replay([*(rows.drop("_at") for rows in in_slices(events, "_at", SLICES)), *ends], start)
+    return run.kept("order_id bigint, cause bigint, effect bigint, outcome string").where("order_id >= 0").drop("batch")
+
+
 STREAMS = (
     stream_dedupe,
     stream_late_events,
@@ -126,4 +150,5 @@ STREAMS = (
     stream_reservations,
     stream_stock,
     stream_saga,
+    stream_causes,
 )
