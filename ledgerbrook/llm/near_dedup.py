@@ -296,7 +296,9 @@ class _Join:
 
     def full_sets(self, ends: DataFrame) -> DataFrame:
         """The full sets (cls, shingles) of the classes named in ``cls``."""
-        wanted = ends.join(self.classes.select("cls", "doc_id"), "cls").select("doc_id").distinct()
+        # written first: Spark sees its size, and moves the texts only where the numbers are too many to send around
+        ends = keep(ends, "wanted")
+        wanted = keep(ends.join(self.classes.select("cls", "doc_id"), "cls").select("doc_id").distinct(), "wanted")
         texts = self.docs.select("doc_id", "text")
         named = texts.join(wanted.where("doc_id IS NOT NULL"), "doc_id", "left_semi")
         # classes of documents without number are told by their sets alone
@@ -448,6 +450,7 @@ def representatives(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     wanted = ones.select("doc_id", "text_key", F.lit(True).alias("one")).unionByName(
         bare.select("doc_id", "text_key", F.lit(False).alias("one"))
     )
+    wanted = keep(wanted, "wanted")
     keyed = docs.select(whole_row(docs), F.col("doc_id").alias("id"), _text_key().alias("key"))
     met = keyed.join(wanted, F.col("id").eqNullSafe(F.col("doc_id")) & F.col("key").eqNullSafe(F.col("text_key")))
     place = F.row_number().over(Window.partitionBy("id", "key").orderBy("row.text"))
