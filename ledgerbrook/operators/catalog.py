@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerbrook.operators.dedupe import first_per_key
+from ledgerbrook.operators.running import ROWS_PER_SLICE, running
 
 FIELDS = ("name", "description", "price", "quantity")
 
@@ -86,7 +87,9 @@ def seed_if_absent(inventory: DataFrame, seed: DataFrame) -> DataFrame:
     return inventory.select("product_id", "quantity", "reserved_quantity").unionByName(stock_rows(new))
 
 
-def asof_with_ttl(reads: DataFrame, versions: DataFrame, ttl_seconds: int, tie: str = "id") -> DataFrame:
+def asof_with_ttl(
+    reads: DataFrame, versions: DataFrame, ttl_seconds: int, tie: str = "id", rows_per_slice: int = ROWS_PER_SLICE
+) -> DataFrame:
     """Each read with the last version of its key, if that is young enough and not a tombstone.
 
     ``reads``: id, key, ts. ``versions``: id, key, ts, value (null value = tombstone).
@@ -113,16 +116,11 @@ def asof_with_ttl(reads: DataFrame, versions: DataFrame, ttl_seconds: int, tie:
         F.lit(None).cast(filled.schema["_version"].dataType).alias("_version"),
         bucket.alias("_bucket"),
     )
-    window = (
-        Window.partitionBy("key", "_bucket")
-        .orderBy("ts", "_kind", "_tie")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    served = (
-        asked.unionByName(filled)
-        .withColumn("_last", F.last("_version", ignorenulls=True).over(window))
-        .where("_kind = 1")
-    )
+    # a running value: the rows of a busy (key, bucket) are cut into slices
+    served = running(
+        asked.unionByName(filled), ["key", "_bucket"], ["ts", "_kind", "_tie"], {"_last": ("last", "_version")},
+        rows_per_slice=rows_per_slice,
+    ).where("_kind = 1")
     age = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("_last.ts").cast("timestamp"))
     hit = F.coalesce((age <= ttl_seconds * 1_000_000) & F.col("_last.value").isNotNull(), F.lit(False))
     return served.withColumn("hit", hit).select(

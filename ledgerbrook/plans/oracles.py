@@ -542,6 +542,28 @@ BODIES["stream_causes"] = """WITH asked AS (SELECT order_id, seq, occurred_at FR
     SELECT order_id, cause, effect, 'answered' AS outcome FROM met
     UNION ALL SELECT order_id, seq, NULL, 'timed_out' FROM asked WHERE seq NOT IN (SELECT cause FROM met)
     UNION ALL SELECT order_id, NULL, seq, 'unexplained' FROM told WHERE seq NOT IN (SELECT effect FROM met)"""
+def _snapshot(service: str, prefix: str) -> str:
+    rows = f"(SELECT * FROM log WHERE service = '{service}')"
+    name = f"{prefix}_request_duration_seconds"
+    return f"""SELECT '{prefix}_requests_total{{endpoint="' || endpoint || '",method="' || method
+            || '",status="' || status || '"}} ' || count(*) || '.0' AS line FROM {rows} GROUP BY method, endpoint, status
+        UNION ALL SELECT '{name}_bucket{{endpoint="' || endpoint || '",le="' || le || '",method="' || method || '"}} '
+            || count(*) FILTER (duration_s <= CAST(bound AS DOUBLE)) || '.0' FROM {rows}, buckets GROUP BY method, endpoint, le
+        UNION ALL SELECT '{name}_count{{endpoint="' || endpoint || '",method="' || method
+            || '"}} ' || count(*) || '.0' FROM {rows} GROUP BY method, endpoint
+        UNION ALL SELECT '{name}_sum{{endpoint="' || endpoint || '",method="' || method
+            || '"}} ' || CAST(sum(CAST(duration_s AS DECIMAL(18,6))) AS VARCHAR) FROM {rows} GROUP BY method, endpoint"""
+
+
+BODIES["service_snapshots"] = f"""{_snapshot("gateway", "gateway_http")}
+    UNION ALL {_snapshot("order-service", "http")}
+    UNION ALL SELECT metric || ' ' || value || '.0' FROM ({BODIES["business_counters"]})"""
+BODIES["sliding_p95"] = f"""SELECT method, window_start, window_start + INTERVAL 60 SECONDS AS window_end, count(*) AS n,
+        quantile_disc(duration_s, 0.95) AS p95_s
+        FROM (SELECT method, duration_s, {SLIDES} FROM log, range(12) AS t(i)) GROUP BY method, window_start"""
+BODIES["amount_defaults"] = """SELECT seq, order_id, CASE seq % 4 WHEN 0 THEN amount WHEN 1 THEN amount WHEN 2 THEN 0.0 END AS charge,
+        CASE WHEN seq % 4 = 3 THEN 'NULL_AMOUNT' END AS quarantine_reason
+        FROM env WHERE attempt = 0 AND event_type = 'OrderCreated'"""
 BODIES["stream_saga"] = BODIES["saga_outcomes"]
 BODIES["stream_late_events"] = BODIES["stream_dedupe"]
 BODIES["stream_request_rate"] = BODIES["request_rate"]
@@ -559,6 +581,7 @@ ADMISSIONS = {
     "business_counters": "lines_intake",
     "emit_order_created": "lines_intake",
     "emit_inventory_events": "lines_reserve",
+    "service_snapshots": "lines_intake",
     "round_trip_events": "lines_intake",
 }
 

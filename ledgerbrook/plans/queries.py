@@ -181,6 +181,14 @@ def metrics_snapshot(e: Entities) -> DataFrame:
     )
 
 
+def service_snapshots(e: Entities) -> DataFrame:
+    """The lines of each service under its own names: the gateway's families, and the order service's with its counters."""
+    edge, own = (e.request_log().where(F.col("service") == s) for s in ("gateway", "order-service"))
+    series = lambda log: (metrics.requests_total(log, ("method", "endpoint", "status")), metrics.latency_histogram(log))
+    gateway = metrics.snapshot_lines(*series(edge), prefix="gateway_http")
+    return gateway.unionByName(metrics.snapshot_lines(*series(own), business_counters(e)))
+
+
 def seed_if_absent(e: Entities) -> DataFrame:
     return catalog.seed_if_absent(e.stock(gappy=True), e.seed())
 
@@ -380,6 +388,26 @@ def latency_percentiles(e: Entities) -> DataFrame:
     return metrics.latency_percentiles(e.request_log())
 
 
+def sliding_p95(e: Entities) -> DataFrame:
+    return metrics.sliding_percentile(e.request_log()).select("method", "window_start", "window_end", "n", F.col("p95").alias("p95_s"))
+
+
+def amount_defaults(e: Entities) -> DataFrame:
+    """What the stock worker charges: total_amount, else amount, else 0, by the keys that a payload has."""
+    turn = F.col("seq") % 4
+    amount = F.col("amount").cast("string")
+    fields = (
+        F.when(turn == 0, F.concat(F.lit('"total_amount":'), amount, F.lit(',"amount":1.0,')))
+        .when(turn == 1, F.concat(F.lit('"amount":'), amount, F.lit(",")))
+        .when(turn == 2, F.lit(""))
+        .otherwise(F.lit('"total_amount":null,"amount":1.0,'))
+    )
+    order = F.col("order_id").cast("string")
+    body = F.concat(F.lit('{"event_type":"OrderCreated","payload":{'), fields, F.lit('"order_id":'), order, F.lit("}}"))
+    sent = e.envelopes(False).where("event_type = 'OrderCreated'").select("seq", body.alias("body"))
+    return bodies.parse(sent).select("seq", "order_id", "charge", "quarantine_reason")
+
+
 def worker_throughput(e: Entities) -> DataFrame:
     return metrics.worker_throughput(dedupe.once_per_event(e.envelopes(), ARRIVAL))
 
@@ -572,7 +600,7 @@ BATCH: tuple[Query, ...] = (
     register_unique, known_actors,
     requested_quantities, order_totals, reserved_by_product, available_stock, http_requests_total,
     latency_histogram, histogram_quantiles, business_counters, red_grouping_sets, avg_latency,
-    latency_percentiles, worker_throughput,
+    latency_percentiles, worker_throughput, sliding_p95, amount_defaults, service_snapshots,
     idempotency_first_wins, first_failure, order_status, order_status_guarded, reserved_balance, counter_rate,
     latest_sample, admit_orders, reserve_orders, intake_outcomes, status_transitions, first_payment,
     workflow_events, payment_decisions,
