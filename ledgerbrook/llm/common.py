@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,14 +17,46 @@ from ledgerbrook.session import run_dir
 SEPARATORS = r"[\x20\x09-\x0D]+"
 
 
+#: Tables kept in each of the scopes that are open.
+_OPEN: list[list[str]] = []
+
+
 def keep(df: DataFrame, label: str = "kept") -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back: lineage is cut, columns stay prunable."""
+    return _kept(df, label, _OPEN[-1] if _OPEN else None)
+
+
+def _kept(df: DataFrame, label: str, scope: list[str] | None) -> DataFrame:
     spark = df.sparkSession
     path = run_dir(spark, f"llm-{label}")
+    if scope is not None:
+        scope.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Remove the tables that are kept inside when the block ends; what it yields keeps a table beyond the block.
+
+    Nothing but the table handed on may be read afterwards. The shuffle files behind removed tables go with
+    them: Spark drops those of plans that the driver has collected, so it is asked to collect.
+    """
+    own: list[str] = []
+    _OPEN.append(own)
+    outer = _OPEN[-2] if len(_OPEN) > 1 else None
+    try:
+        yield lambda df, label: _kept(df, label, outer)
+    finally:
+        _OPEN.remove(own)
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in own:
+            found = jvm.org.apache.hadoop.fs.Path(path)
+            found.getFileSystem(conf).delete(found, True)
+        gc.collect()
+        jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     _reachable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -43,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerbrook.llm.common import components, keep, whole_row
+from ledgerbrook.llm.common import components, keep, scratch, whole_row
 
 TREES = 6
 BRANCHES = 2
@@ -389,6 +389,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
     are linked. ``group_key`` names the group also where numbers are missing; it is
     null for documents without words.
     """
+    with scratch(docs.sparkSession) as hand_on:
+        return hand_on(_groups(docs, size, percent), "groups")
+
+
+def _groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
     join = _Join(docs, size, percent)
     found = keep(join.roots(), "nodes")
     # a node with one class leads nowhere

@@ -108,3 +108,17 @@ def test_word_hashes_do_not_depend_on_the_cut(monkeypatch):
     monkeypatch.setattr(near_dedup, "_CHUNK", 16)
     for a, b in zip(whole, near_dedup.word_hashes(data, offsets), strict=True):
         assert (a == b).all()
+
+
+def test_steps_leave_no_tables_behind(spark):
+    from pathlib import Path
+
+    from ledgerbrook.session import shared_dir
+
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = {p.name for p in folder.glob("llm-*")}
+    df = spark.createDataFrame([(i, f"a b c d e f{i % 2}") for i in range(6)], "doc_id long, text string")
+    out = near_duplicates(df)
+    left = {p.name for p in folder.glob("llm-*")} - before
+    assert len(left) == 1 and next(iter(left)).startswith("llm-groups")
+    assert sorted(r["component_id"] for r in out.collect()) == [0, 0, 0, 1, 1, 1]
