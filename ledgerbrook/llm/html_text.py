@@ -37,13 +37,18 @@ SMOOTHING = 0.5
 
 #: Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template iframe svg canvas object audio video select textarea button head title math".split())
+SILENT = frozenset(
+    "script style noscript template iframe svg audio video select textarea button head title annotation annotation-xml".split()
+)
 INLINE = frozenset(
     "a abbr b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q s samp small span strike "
-    "strong sub sup time tt u var wbr acronym nobr ruby rt rp picture source".split()
+    "strong sub sup time tt u var wbr acronym nobr ruby rt rp picture source "
+    "math mi mn mo ms mtext mspace mrow msup msub msubsup mfrac msqrt mroot mover munder munderover mmultiscripts "
+    "mprescripts mstyle mpadded mphantom menclose merror mtable mtr mtd semantics".split()
 )
 CLOSED_BY_LIKE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr"}, "th": {"tr"}}
 
+_HIDDEN = re.compile(r"(?i)(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -60,7 +65,7 @@ class Node:
         for name, value in attrs:
             if name in ("class", "id", "role", "itemprop", "aria-label") and value:
                 words.update(w.lower() for w in _WORD.findall(value))
-            elif name == "hidden" or (name == "style" and value and "none" in value.replace(" ", "")):
+            elif name == "hidden" or (name == "style" and value and _HIDDEN.search(value)):
                 words.add("hidden")
             elif name == "data-keep":
                 self.label = value != "0"
@@ -77,6 +82,8 @@ class Page(HTMLParser):
         self.root = Node("page", [], None)
         self.nodes, self.blocks = [self.root], []
         self.open: list[tuple[str, Node]] = [("page", self.root)]
+        # how many elements of a name are open: an end tag without one is passed over at once
+        self.held: Counter[str] = Counter()
         self.run: list[str] = []
         self.silent = self.links = self.link_chars = 0
         self.feed(html)
@@ -99,7 +106,7 @@ class Page(HTMLParser):
 
     def pop(self) -> None:
         self.flush()
-        self.open.pop()
+        self.held[self.open.pop()[0]] -= 1
         self.links = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -124,18 +131,20 @@ class Page(HTMLParser):
         self.links = 0
         while self.open[-1][0] == "p":
             self.pop()
-        if tag in CLOSED_BY_LIKE:
+        like = {"dt", "dd"} if tag in ("dt", "dd") else {"td", "th"} if tag in ("td", "th") else {tag}
+        if tag in CLOSED_BY_LIKE and any(self.held[name] for name in like):
             for back in range(len(self.open) - 1, 0, -1):
                 name = self.open[back][0]
                 if name in CLOSED_BY_LIKE[tag]:
                     break
-                if name == tag or {name, tag} in ({"dt", "dd"}, {"td", "th"}):
+                if name in like:
                     while len(self.open) > back:
                         self.pop()
                     break
         node = Node(tag, attrs, self.open[-1][1])
         self.nodes.append(node)
         self.open.append((tag, node))
+        self.held[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in VOID:
@@ -154,11 +163,10 @@ class Page(HTMLParser):
             if tag == "a":
                 self.links = max(0, self.links - 1)
             return
-        for back in range(len(self.open) - 1, 0, -1):
-            if self.open[back][0] == tag:
-                while len(self.open) > back:
-                    self.pop()
-                return
+        if self.held[tag]:
+            while self.open[-1][0] != tag:
+                self.pop()
+            self.pop()
 
     def handle_data(self, data: str) -> None:
         if self.silent:
@@ -173,7 +181,7 @@ def looks(node: Node) -> list[str]:
     share = node.linked / node.length if node.length else -1.0
     link = "none" if share < 0 else "0" if share == 0 else "low" if share < 0.3 else "mid" if share < 0.7 else "high"
     own = "0" if not node.own else "s" if node.own < 40 else "m" if node.own < 160 else "l"
-    return [f"link={link}", f"own={own}", *(f"hint={h}" for h in sorted(node.hints)[:12])]
+    return [f"link={link}", f"own={own}", *(f"hint={h}" for h in sorted(node.hints))]
 
 
 def label_by_landmarks(page: Page) -> bool:

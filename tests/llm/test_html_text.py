@@ -79,3 +79,35 @@ def test_the_pages_table(spark):
         blocks = [entities.unescape(re.sub(r"<[^>]*>", " ", b)) for b in re.split(r"</?(?:p|h1)>", body)]
         want = [" ".join(b.split()) for b in blocks]
         assert found[r["page_id"]] == "\n".join(b for b in want if b)
+
+
+def test_formulas_stay_and_their_sources_do_not():
+    page = html_text.Page(
+        "<article><p>The formula <math><mrow><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></mrow>"
+        "<annotation encoding='tex'>E=mc^2</annotation></math> holds</p><object>Shown <b>instead</b></object></article>"
+    )
+    assert [text for _, text in page.blocks] == ["The formula E=mc2 holds", "Shown instead"]
+
+
+def test_only_hidden_styles_hide():
+    of = lambda style: "hidden" in html_text.Page(f"<div style='{style}'>x</div>").nodes[1].hints
+    assert of("display:none") and of("color:red; DISPLAY : none") and of("visibility:hidden")
+    assert not of("text-decoration:none") and not of("border:none;list-style:none") and not of("display:nonesuch")
+
+
+def test_all_words_of_a_class_count():
+    names = " ".join(f"aa{chr(97 + i)}" for i in range(20))
+    node = html_text.Page(f"<div class='{names} widget'>x</div>").nodes[1]
+    assert "hint=widget" in html_text.looks(node) and len([x for x in html_text.looks(node) if x.startswith("hint=")]) == 21
+
+
+def test_stray_end_tags_take_linear_time():
+    import time
+
+    def took(n):
+        start = time.perf_counter()
+        html_text.Page("<div>" * n + "</section>" * n + "<dd>x" * 50)
+        return time.perf_counter() - start
+
+    took(1000)
+    assert took(20_000) < 12 * max(took(4_000), 0.01)
