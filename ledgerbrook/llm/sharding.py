@@ -1,8 +1,8 @@
 """Shards cut from a Hilbert curve through the metadata of documents.
 
-Language, source and size are quantised to ``2**bits`` steps each, by approximate
-quantiles of the table itself (texts by their first seven bytes, which keeps their
-order). The steps are the coordinates of a cell, and the Hilbert index of the cell
+Language, source and size are quantised to ``2**bits`` steps each: sizes by approximate
+quantiles of the table itself, texts by the rows that stand before their whole value in
+the order of all values. The steps are the coordinates of a cell, and the Hilbert index of the cell
 orders the documents, equal texts of a cell together. Runs of equal length are cut
 from that order: the law is ``rows``, counts of any two shards differ by one at
 most. A shard then covers a compact box of the metadata, so the minimum and maximum
@@ -19,15 +19,17 @@ result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerbrook.llm.common import keep, let, ranked
+from ledgerbrook.operators.running import running
 
 SHARDS = 24
 BITS = 6
 PER_ROW = 8
-_PREFIX = 7
 
 
 def hilbert_index(steps: list[Column], bits: int) -> Column:
@@ -75,10 +77,12 @@ def hilbert_index(steps: list[Column], bits: int) -> Column:
     return let(let(turned, coded), woven)
 
 
-def _as_number(text: Column) -> Column:
-    """A number that orders texts as their first bytes do; null first."""
-    head = F.rpad(F.hex(F.substring(F.encode(text, "UTF-8"), 1, _PREFIX)), 2 * _PREFIX, "0")
-    return F.when(text.isNull(), -1).otherwise(F.conv(head, 16, 10).cast("long"))
+def _text_cuts(rows: DataFrame, name: str, total: int, steps: int) -> list[str]:
+    """The first value of each step: values in order, cut by the rows before them; at most ``steps``."""
+    values = rows.where(F.col(name).isNotNull()).groupBy(name).agg(F.count("*").alias("n"))
+    placed = running(values, [], [name], {"upto": ("sum", "n")})
+    at = F.floor((F.col("upto") - F.col("n")) * steps / max(total, 1))
+    return sorted(r[0] for r in placed.groupBy(at).agg(F.min(name).alias("v")).select("v").collect())
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
@@ -89,24 +93,29 @@ def shard(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
         (F.octet_length(text) + PER_ROW).cast("long").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
         F.xxhash64(text).alias("_text"),
-        _as_number(F.col("lang")).alias("_d0"),
-        _as_number(F.col("source")).alias("_d1"),
+        F.col("lang").cast("string").alias("_lang"),
+        F.col("source").cast("string").alias("_source"),
     )
-    rows = keep(rows.withColumn("_d2", F.col("size")), "shard-keys")
-    names = ["_d0", "_d1", "_d2"]
-    shares = [k / (1 << bits) for k in range(1, 1 << bits)]
-    cuts = rows.agg(F.count("*").alias("n"), *(F.percentile_approx(c, shares, 10_000).alias(c) for c in names)).first()
-    total = cuts["n"]
-
-    def step(name: str) -> Column:
-        found = sorted(set(cuts[name] or []))
+    rows = keep(rows, "shard-keys")
+    side = 1 << bits
+    shares = [k / side for k in range(1, side)]
+    known = rows.agg(F.count("*").alias("n"), F.percentile_approx("size", shares, 10_000).alias("sizes")).first()
+    total = known["n"]
+
+    def step(found: list, reached: Callable[[Column], Column]) -> Column:
         if not found:
             return F.lit(0)
-        below = F.size(F.filter(F.array(*map(F.lit, found)), lambda c: c < F.col(name)))
+        below = F.size(F.filter(F.array(*map(F.lit, found)), reached))
         # few distinct values still spread over the whole side of the grid
-        return F.floor(below * (1 << bits) / (len(found) + 1)).cast("int")
+        return F.floor(below * side / (len(found) + 1)).cast("int")
+
+    def text_step(name: str) -> Column:
+        # a null reaches no first value and stands before all
+        found = step(_text_cuts(rows, name, total, side), lambda c: c <= F.col(name))
+        return F.when(F.col(name).isNull(), 0).otherwise(found)
 
-    curve = hilbert_index([step(c) for c in names], bits)
+    sizes = step(sorted(set(known["sizes"] or [])), lambda c: c < F.col("size"))
+    curve = hilbert_index([text_step("_lang"), text_step("_source"), sizes], bits)
     placed = rows.select("doc_id", "size", "text_crc32", "_text", curve.alias("curve"))
     order = [F.col(c) for c in ("curve", "_text", "doc_id", "size", "text_crc32")]
     at = ranked(placed, order)

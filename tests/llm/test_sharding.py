@@ -66,3 +66,13 @@ def test_files_prune(spark):
     out = shard(df).select("doc_id", "shard", "size").join(df.select("doc_id", "lang", "source"), "doc_id")
     langs = out.groupBy("shard").agg(F.countDistinct("lang").alias("n")).agg(F.avg("n")).first()[0]
     assert langs < 3
+
+
+def test_values_with_a_long_common_prefix_are_told_apart(spark):
+    """Each shard holds few of the sources, also where they begin alike."""
+    rows = [(i, "same", "en", f"https://www.example.com/source_{i % 24:02d}") for i in range(960)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = shard(df).join(df.select("doc_id", "source"), "doc_id").groupBy("shard").agg({"source": "approx_count_distinct"})
+    assert max(r[1] for r in out.collect()) <= 2
+    odd = df.selectExpr("doc_id", "text", "CASE WHEN doc_id % 3 = 0 THEN lang END AS lang", "CAST(NULL AS string) AS source")
+    assert shard(odd).count() == 960
