@@ -3,6 +3,15 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows of the one before;
 ``run`` writes every stage as Parquet to the shared folder and reads it again, so a
 lost executor costs one stage at most.
+
+Defined cases, for all stages: nulls in any column are kept as they are. Null and empty
+texts are not toxic unless the rate of such examples says so, have no near duplicates
+and no secrets, count no words in the mix (they are taken once) and pack to the closing
+id alone. Repeated rows of a text with words are one group and leave one row; those
+without words all stay. A null doc_id is a document without number: it never names a
+group unless all its members have none. Texts are worked on whole, whatever their
+length. Extra columns go through every stage but the last unchanged, whatever their
+names. An empty table gives an empty table.
 """
 
 from __future__ import annotations
