@@ -121,16 +121,16 @@ def _stem_and_tail(word: str) -> tuple[str, str]:
 
 
 @lru_cache(maxsize=1)
-def _tokenizer(path: str) -> WordTokenizer:
+def _tokenizer(path: str, limit: int) -> WordTokenizer:
     """One table for all tasks that a Python worker runs."""
-    return WordTokenizer(path)
+    return WordTokenizer(path, limit)
 
 
-def _pieces(path: str, closing: int, capacity: int):
+def _pieces(path: str, closing: int, capacity: int, words: int):
     end = int(closing).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(path)
+        tokenizer = _tokenizer(path, words)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -152,14 +152,15 @@ def _pieces(path: str, closing: int, capacity: int):
     return run
 
 
-def pack(docs: DataFrame, path: str, closing: int = 1, capacity: int = 2048) -> DataFrame:
+def pack(docs: DataFrame, path: str, closing: int = 1, capacity: int = 2048, words: int = WORD_TABLE) -> DataFrame:
     """Pieces of the documents (doc_id, text) with the sequence that each one fills.
 
     Columns: doc_id, start (ids of its document before it), length, ids_crc32,
-    doc_tokens, sequence_id, offset.
+    doc_tokens, sequence_id, offset. ``words`` bounds the words that a worker remembers the ids of; the
+    result does not depend on it.
     """
     if capacity < 1 or capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
-    pieces = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_pieces(path, closing, capacity), PIECE)
+    pieces = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_pieces(path, closing, capacity, words), PIECE)
     order = [F.col(c) for c in ("length", "doc_id", "start", "ids_crc32", "doc_tokens")]
     return ranked(keep(pieces, "pieces"), order, "sequence_id").withColumn("offset", F.lit(0).cast("long"))
