@@ -48,7 +48,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token ids in sequences that cross no documents."""
-    return packing.pack(docs, vocabulary("word_bpe_49k.json"))
+    # workers are shared with the stages before: a smaller table of words than the operator's own
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"), words=250_000)
 
 
 STAGES: list[tuple[str, Stage]] = [
