@@ -1,5 +1,8 @@
 """The shared folder and the plans that scale depends on."""
 
+from unittest.mock import MagicMock
+
+import pytest
 
 from ledgerbrook.operators import dedupe, metrics
 from ledgerbrook.plans.adapters import ARRIVAL, Entities
@@ -18,6 +21,31 @@ def test_shared_dir_is_kept(spark):
     assert "ExistingRDD" in _plan(cut_lineage(spark.range(3)))
 
 
+def _cluster(path):
+    """What ``shared_dir`` asks of a session on several machines, with the machine's own default file system."""
+    session = MagicMock()
+    session.conf.get.return_value = path
+    context = session.sparkContext
+    context.master = "local-cluster[3,4,10240]"
+    context.getConf().get.return_value = path
+    context._jsc.sc().getCheckpointDir().isDefined.return_value = False
+    context._jsc.sc().getCheckpointDir().isEmpty.return_value = True
+    context._jsc.hadoopConfiguration().get.return_value = "file:///"
+    return session
+
+
+def test_cluster_takes_a_folder_without_file_system():
+    session = _cluster("/mnt/shared")
+    with pytest.warns(UserWarning, match="all machines must mount"):
+        assert shared_dir(session) == "/mnt/shared"
+    session.sparkContext.setCheckpointDir.assert_called_once_with("/mnt/shared")
+
+
+def test_cluster_needs_a_folder():
+    with pytest.raises(RuntimeError, match="all executors can reach"):
+        shared_dir(_cluster(None))
+
+
 def test_repeats_are_cut_before_the_shuffle(spark):
     plan = _plan(dedupe.once_per_event(Entities(spark, SF).envelopes(), ARRIVAL))
     assert "Partial" in plan and plan.count("Exchange") == 1
