@@ -110,3 +110,39 @@ def test_balance_stops_at_zero(spark, per_slice):
     for product, t, change, _ in rows:
         held[product] = max(0, held[product] + change)
         assert got[t] == held[product]
+
+
+@pytest.mark.parametrize("per_slice", [1_000_000, 60, 10])
+def test_balance_with_null_keys_changes_and_openings(spark, per_slice):
+    rng = random.Random(8)
+    rows = [
+        (rng.choice([1, 1, 1, 2, None]), t, rng.choice([None, rng.randint(-6, 5)]), None if t % 7 == 0 else 2) for t in range(300)
+    ]
+    df = spark.createDataFrame(rows, "product_id bigint, t bigint, change bigint, opening bigint")
+    upto = Window.partitionBy("product_id").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    summed = df.withColumn("s", F.coalesce(F.sum("change").over(upto), F.lit(0)) + F.col("opening"))
+    want = {r["t"]: r["b"] for r in summed.select("t", (F.col("s") - F.least(F.lit(0), F.min("s").over(upto))).alias("b")).collect()}
+    got = inventory.reserved_balance(df, ["t"], rows_per_slice=per_slice).collect()
+    assert {r["t"]: r["reserved"] for r in got} == want and len(got) == len(rows)
+
+
+def test_balance_moves_its_rows_once(spark):
+    df = spark.range(100).selectExpr("id % 7 AS product_id", "id AS t", "5 - id % 11 AS change", "0L AS opening")
+    found = inventory.reserved_balance(df, ["t"])
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    assert found._jdf.queryExecution().explainString(mode).count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize(("per_slice", "passes"), [(1_000_000, 1), (10, 2)])
+def test_keys_are_counted_in_few_passes(spark, per_slice, passes):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(40).selectExpr("id % 2 AS k", "id AS t").mapInArrow(count, "k bigint, t bigint")
+    sliced(df, ["k"], ["t"], per_slice)
+    # cutting the slices reads the rows twice more: once for the bounds
+    assert seen.value == 40 * (passes + (2 if passes > 1 else 0))
