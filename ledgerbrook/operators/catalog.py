@@ -35,8 +35,11 @@ def missing_updates(products: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def judge_deletes(deletes: DataFrame, products: DataFrame, references: DataFrame) -> DataFrame:
-    """MISSING when there is no such product, BLOCKED when an order line refers to it, else DELETED."""
-    known = products.select(F.col("id").alias("product_id"), F.lit(True).alias("_known"))
+    """MISSING when there is no such product, BLOCKED when an order line refers to it, else DELETED.
+
+    One outcome per row of ``deletes``, also where an id stands in the catalog more than once.
+    """
+    known = products.select(F.col("id").alias("product_id")).distinct().withColumn("_known", F.lit(True))
     used = references.select("product_id").distinct().withColumn("_used", F.lit(True))
     outcome = (
         F.when(F.col("_known").isNull(), "MISSING").when(F.col("_used"), "BLOCKED").otherwise("DELETED")

@@ -168,6 +168,12 @@ def test_updates_and_deletes(spark, shop):
     assert values(catalog.delete_products(products, judged), "id") == [(2,), (3,), (4,)]
 
 
+def test_repeated_products_judge_a_delete_once(spark):
+    products = frame(spark, "id bigint", (1,), (1,), (2,))
+    judged = catalog.judge_deletes(frame(spark, "product_id bigint", (1,), (2,), (9,)), products, frame(spark, "product_id bigint", (2,), (2,)))
+    assert values(judged, "product_id", "outcome") == [(1, "DELETED"), (2, "BLOCKED"), (9, "MISSING")]
+
+
 def test_unique_users(spark):
     rows = frame(spark, "seq bigint, email string", (1, "a@x.io"), (2, "a@x.io"), (3, "b@x.io"), (4, "old@x.io"))
     old = frame(spark, "email string", ("old@x.io",))
