@@ -37,7 +37,7 @@ WORD_TABLE = 700_000
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 #: Marks that, closing a word after a letter, are tokens of their own.
-_MARKS = ".,!?;:*#$%&"
+_MARKS = b".,!?;:*#$%&"
 
 
 def piece_lengths(n: int, capacity: int) -> list[int]:
@@ -46,6 +46,20 @@ def piece_lengths(n: int, capacity: int) -> list[int]:
     return [capacity] * (n // capacity) + [1 << k for k in range(rest.bit_length() - 1, -1, -1) if rest >> k & 1]
 
 
+class _Words(dict):
+    """Ids of words met before. A new word gives a place that is filled once all new words of the texts are encoded."""
+
+    def __init__(self, older: dict[bytes, bytes]) -> None:
+        self.older, self.open = older, {}
+
+    def __missing__(self, word: bytes) -> bytes | bytearray:
+        known = self.older.get(word)
+        if known is None:
+            return self.open.setdefault(word, bytearray())
+        self[word] = known
+        return known
+
+
 class WordTokenizer:
     """Token ids of texts as little-endian 32-bit bytes, with a bounded table of words met before.
 
@@ -61,9 +75,9 @@ class WordTokenizer:
         self.encoder = Tokenizer.from_file(path)
         self.limit = limit
         # a full table becomes the older one, from which words still in use come back
-        self.words: dict[bytes, bytes] = {}
+        self.words = _Words({})
         self.stems: dict[str, bytes] = {}
-        self.older: tuple[dict[bytes, bytes], dict[str, bytes]] = {}, {}
+        self.old_stems: dict[str, bytes] = {}
         self.ends = np.zeros(self.encoder.get_vocab_size(), bool)
         self.ends[[i for token, i in self.encoder.get_vocab().items() if token.endswith("</w>")]] = True
 
@@ -89,35 +103,36 @@ class WordTokenizer:
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """Ids of UTF-8 texts, one run of bytes each."""
-        # splits at ASCII white space only, where the vocabulary's own rules cut too
-        cut = [t.split() for t in texts]
         if len(self.words) > self.limit or len(self.stems) > self.limit:
-            self.older = self.words, self.stems
-            self.words, self.stems = {}, {}
-        found = [list(map(self.words.get, own)) for own in cut]
-        open_ = [i for i, got in enumerate(found) if None in got]
-        if open_:
-            new = set().union(*(cut[i] for i in open_)).difference(self.words)
-            old_words, old_stems = self.older
-            self.words.update((w, old_words[w]) for w in new if w in old_words)
-            parts = {w: _stem_and_tail(w.decode()) for w in new if w not in old_words}
+            self.words.older = {}
+            self.words, self.old_stems, self.stems = _Words(self.words), self.stems, {}
+        words = self.words
+        words.open = {}  # an error in the last call may have left places
+        # splits at ASCII white space only, where the vocabulary's own rules cut too; each word is looked up once
+        found = [list(map(words.__getitem__, t.split())) for t in texts]
+        if words.open:
+            parts = {w: _stem_and_tail(w) for w in words.open}
             stems = {x for both in parts.values() for x in both}
-            self.stems.update((s, old_stems[s]) for s in stems if s in old_stems)
+            self.stems.update((s, self.old_stems[s]) for s in stems if s in self.old_stems)
             self._learn([s for s in stems if s not in self.stems])
             for word, (stem, tail) in parts.items():
-                self.words[word] = self.stems[stem] + self.stems[tail]
-            for i in open_:
-                found[i] = list(map(self.words.get, cut[i]))
+                ids = self.stems[stem] + self.stems[tail]
+                words.open[word].extend(ids)
+                words[word] = ids
+            words.open = {}
         return list(map(b"".join, found))
 
 
-def _stem_and_tail(word: str) -> tuple[str, str]:
+def _stem_and_tail(word: bytes) -> tuple[str, str]:
     """A word as letters and closing marks, which the vocabulary never joins, or the word and nothing."""
-    stem = word.rstrip(_MARKS)
+    ascii_stem = word.rstrip(_MARKS)
+    if ascii_stem.isalpha():
+        return ascii_stem.lower().decode(), word[len(ascii_stem) :].decode()
+    whole, stem = word.decode(), ascii_stem.decode()
     # the last character must still be a letter after the vocabulary's own normal form and lower case
     if not stem or not unicodedata.normalize("NFC", stem[-1]).lower()[-1:].isalpha():
-        return word, ""
-    return (stem.lower() if stem.isascii() and stem.isalpha() else stem), word[len(stem) :]
+        return whole, ""
+    return stem, whole[len(stem) :]
 
 
 @lru_cache(maxsize=1)

@@ -27,6 +27,26 @@ def test_ids_equal_those_of_whole_texts():
             assert own([text.encode()])[0] == ids, text[:40]
 
 
+def test_each_word_is_looked_up_once():
+    class Word(bytes):
+        lookups = 0
+
+        def __hash__(self):
+            Word.lookups += 1
+            return bytes.__hash__(self)
+
+    class Text(bytes):
+        def split(self):
+            return [Word(w) for w in bytes.split(self)]
+
+    own = WordTokenizer(vocabulary("word_bpe_49k.json"))
+    own([b"one two three"])
+    first, Word.lookups = Text(b"one two three " * 1000 + b"four"), 0
+    assert own([first]) == WordTokenizer(vocabulary("word_bpe_49k.json"))([bytes(first)])
+    # a new word makes a text no dearer: some steps for the word itself, one look-up for each of the others
+    assert Word.lookups <= 3000 + 20
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 2047, 2048, 2049, 10_000])
 def test_lengths(n):
     parts = piece_lengths(n, 2048)
