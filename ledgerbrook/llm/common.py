@@ -132,6 +132,16 @@ def components(edges: DataFrame) -> DataFrame:
     map-side combine and a join, and the number of rounds grows with the logarithm
     of the longest path. Nodes without edges do not appear.
     """
+    with scratch(edges.sparkSession) as hand_on:
+        current = hand_on(_stars(edges), "edges")
+    root = current.select(F.col("b").alias("node")).distinct()
+    return current.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
+        root.select("node", F.col("node").alias("root"))
+    )
+
+
+def _stars(edges: DataFrame) -> DataFrame:
+    """Edges (a, b) from every node to the root of its component."""
 
     def smallest(pairs: DataFrame) -> DataFrame:
         return pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -157,7 +167,4 @@ def components(edges: DataFrame) -> DataFrame:
     current = keep(down.where("a != b").distinct(), "edges")
     while not stars_only(current):
         current = keep(small_star(large_star(current)), "edges")
-    root = current.select(F.col("b").alias("node")).distinct()
-    return current.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
-        root.select("node", F.col("node").alias("root"))
-    )
+    return current

@@ -280,19 +280,28 @@ class _Join:
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Those candidate pairs (a, b) of classes that are linked, by their full sets."""
+        # full sets and the shuffles of texts behind them are given up here, not at the end of the join
+        with scratch(self.docs.sparkSession) as hand_on:
+            return hand_on(self._confirmed(pairs), "links")
+
+    def _confirmed(self, pairs: DataFrame) -> DataFrame:
         pairs = keep(pairs.distinct(), "candidates")
         sets = self.full_sets(pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct())
         left = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("left"))
         right = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("right"))
         joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-        return keep(joined.mapInArrow(_confirm(self.percent), "a binary, b binary"), "links")
+        return joined.mapInArrow(_confirm(self.percent), "a binary, b binary")
 
     def compared(self, rows: DataFrame) -> DataFrame:
         """Links found in the cells (node, low, high) of large nodes; no pair leaves its task unless it is one."""
+        with scratch(self.docs.sparkSession) as hand_on:
+            return hand_on(self._compared(rows), "links")
+
+    def _compared(self, rows: DataFrame) -> DataFrame:
         sets = self.full_sets(rows.select("cls").distinct())
         full = rows.join(sets, "cls").select("node", "low", "high", "cls", "root", "top", "shingles")
         found = full.groupBy("node", "low", "high").applyInArrow(_compare(self.percent), "a binary, b binary")
-        return keep(found.distinct(), "links")
+        return found.distinct()
 
     def full_sets(self, ends: DataFrame) -> DataFrame:
         """The full sets (cls, shingles) of the classes named in ``cls``."""
@@ -321,6 +330,13 @@ class _Join:
         nodes = F.array(*(F.struct(F.lit(t).alias("tree"), node(t, p)) for t, p in chosen))
         return self.classes.select(F.inline(nodes), "cls", F.col("n_shingles").alias("width"))
 
+    def crowds(self) -> DataFrame:
+        """Those nodes below the roots that hold more than one class: one with a single class leads nowhere."""
+        with scratch(self.docs.sparkSession) as hand_on:
+            found = keep(self.roots(), "nodes")
+            crowd = found.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
+            return hand_on(found.join(crowd, "node").select("tree", "node", "cls", "width"), "nodes")
+
     def stars(self, rows: DataFrame, pivots: list[Column]) -> DataFrame:
         """Pairs (a, b): each class of a node with each of its pivots, the least ones by ``pivots``."""
         named = rows.join(self.classes.select("cls", "doc_id"), "cls")
@@ -395,10 +411,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFr
 
 def _groups(docs: DataFrame, size: int, percent: int) -> DataFrame:
     join = _Join(docs, size, percent)
-    found = keep(join.roots(), "nodes")
-    # a node with one class leads nowhere
-    crowd = found.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node")
-    found = keep(found.join(crowd, "node"), "nodes").select("tree", "node", "cls", "width")
+    found = join.crowds()
     pivots = [F.struct("doc_id", "cls"), F.struct(F.xxhash64("node", "cls"), "cls")]
     links = join.confirmed(join.sketched(join.stars(found, pivots)))
     grouped = components(links)

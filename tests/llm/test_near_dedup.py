@@ -5,7 +5,9 @@ import re
 
 import pytest
 
-from ledgerbrook.llm import near_dedup
+from pyspark.sql import functions as F
+
+from ledgerbrook.llm import common, near_dedup
 from ledgerbrook.llm.near_dedup import near_duplicates, representatives
 
 SCHEMA = "doc_id long, text string, cls string, node string"
@@ -122,3 +124,28 @@ def test_steps_leave_no_tables_behind(spark):
     left = {p.name for p in folder.glob("llm-*")} - before
     assert len(left) == 1 and next(iter(left)).startswith("llm-groups")
     assert sorted(r["component_id"] for r in out.collect()) == [0, 0, 0, 1, 1, 1]
+
+
+def test_full_sets_go_before_the_join_ends(spark, monkeypatch):
+    made = []
+    written = common.run_dir
+    monkeypatch.setattr(common, "run_dir", lambda session, label: made.append(written(session, label)) or made[-1])
+
+    def there():
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        fs = path(made[0]).getFileSystem(spark._jsc.hadoopConfiguration())
+        return {re.search(r"llm-([a-z-]+)-", m)[1] for m in made if fs.exists(path(m))}
+
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    docs = spark.createDataFrame([(1, text), (2, text + " thirteen"), (3, "other words that stand alone here")], "doc_id long, text string")
+    with common.scratch(spark):
+        join = near_dedup._Join(docs, 5, 75)
+        join.crowds()
+        a = join.classes.where("doc_id = 1").select(F.col("cls").alias("a"))
+        b = join.classes.where("doc_id > 1").select(F.col("cls").alias("b"))
+        links = join.confirmed(a.crossJoin(b))
+        assert links.count() == 1
+        assert common.components(links).count() == 2
+        assert there() == {"signatures", "classes", "nodes", "links", "edges"}
+        assert sum(f"llm-{n}-" in m for m in made for n in ("candidates", "wanted", "sets")) == 4
+    assert there() == set()
