@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
@@ -39,8 +40,7 @@ def _kept(df: DataFrame, label: str, scope: list[str] | None) -> DataFrame:
 def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """Remove the tables that are kept inside when the block ends; what it yields keeps a table beyond the block.
 
-    Nothing but the table handed on may be read afterwards. The shuffle files behind removed tables go with
-    them: Spark drops those of plans that the driver has collected, so it is asked to collect.
+    Nothing but the table handed on may be read afterwards. The shuffle files behind removed tables go with them.
     """
     own: list[str] = []
     _OPEN.append(own)
@@ -49,12 +49,20 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFram
         yield lambda df, label: _kept(df, label, outer)
     finally:
         _OPEN.remove(own)
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        conf = spark._jsc.hadoopConfiguration()
         for path in own:
-            found = jvm.org.apache.hadoop.fs.Path(path)
+            found = spark._jvm.org.apache.hadoop.fs.Path(path)
             found.getFileSystem(conf).delete(found, True)
+        give_up_shuffles(spark)
+
+
+def give_up_shuffles(spark: SparkSession) -> None:
+    """Ask Spark to drop the shuffle files behind what has been written: it does when the driver has collected the plans."""
+    # once is not enough for the plan of the last write; Python hands its references back a moment later
+    for _ in range(2):
         gc.collect()
-        jvm.System.gc()
+        time.sleep(0.2)
+        spark._jvm.System.gc()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

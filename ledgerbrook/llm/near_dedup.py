@@ -43,7 +43,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerbrook.llm.common import components, keep, scratch, whole_row
+from ledgerbrook.llm.common import components, give_up_shuffles, keep, scratch, whole_row
 
 TREES = 6
 BRANCHES = 2
@@ -265,18 +265,19 @@ class _Join:
 
     def __init__(self, docs: DataFrame, size: int, percent: int) -> None:
         self.docs, self.size, self.percent = docs, size, percent
-        self.signed = keep(
-            docs.select("doc_id", _text_key(), "text").mapInArrow(_sign(size), SIGNATURE), "signatures"
-        )
-        self.classes = keep(
-            self.signed.where("n_shingles > 0")
-            .groupBy("cls")
-            .agg(
-                F.min("doc_id").alias("doc_id"),
-                *(F.first(c).alias(c) for c in ("n_shingles", "tokens", "s0", "s1")),
-            ),
-            "classes",
-        )
+        # tokens and sketches are read by class only: rows keep the name of their class
+        with scratch(docs.sparkSession) as hand_on:
+            signed = keep(docs.select("doc_id", _text_key(), "text").mapInArrow(_sign(size), SIGNATURE), "signatures")
+            self.classes = hand_on(
+                signed.where("n_shingles > 0")
+                .groupBy("cls")
+                .agg(
+                    F.min("doc_id").alias("doc_id"),
+                    *(F.first(c).alias(c) for c in ("n_shingles", "tokens", "s0", "s1")),
+                ),
+                "classes",
+            )
+            self.signed = hand_on(signed.select("doc_id", "text_key", "n_shingles", "cls"), "signatures")
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Those candidate pairs (a, b) of classes that are linked, by their full sets."""
@@ -305,15 +306,22 @@ class _Join:
 
     def full_sets(self, ends: DataFrame) -> DataFrame:
         """The full sets (cls, shingles) of the classes named in ``cls``."""
+        # the shuffles of texts are given up before the sets are joined
+        with scratch(self.docs.sparkSession) as hand_on:
+            return hand_on(self._full_sets(ends), "sets")
+
+    def _full_sets(self, ends: DataFrame) -> DataFrame:
         # written first: Spark sees its size, and moves the texts only where the numbers are too many to send around
         ends = keep(ends, "wanted")
         wanted = keep(ends.join(self.classes.select("cls", "doc_id"), "cls").select("doc_id").distinct(), "wanted")
+        # what told which ones are wanted goes before texts move
+        give_up_shuffles(self.docs.sparkSession)
         texts = self.docs.select("doc_id", "text")
         named = texts.join(wanted.where("doc_id IS NOT NULL"), "doc_id", "left_semi")
         # classes of documents without number are told by their sets alone
         unnamed = texts.where("doc_id IS NULL")
         sets = named.union(unnamed).select("text").mapInArrow(_full_sets(self.size), SETS)
-        return keep(sets.join(ends, "cls", "left_semi").dropDuplicates(["cls"]), "sets")
+        return sets.join(ends, "cls", "left_semi").dropDuplicates(["cls"])
 
     def sketched(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) of class ids whose sizes and sketches allow a link."""

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import pytest
 
@@ -149,3 +150,43 @@ def test_full_sets_go_before_the_join_ends(spark, monkeypatch):
         assert there() == {"signatures", "classes", "nodes", "links", "edges"}
         assert sum(f"llm-{n}-" in m for m in made for n in ("candidates", "wanted", "sets")) == 4
     assert there() == set()
+
+
+def test_tokens_and_texts_go_before_the_sets_are_joined(spark, monkeypatch):
+    made = []
+    written = common.run_dir
+    monkeypatch.setattr(common, "run_dir", lambda session, label: made.append(written(session, label)) or made[-1])
+
+    def there():
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        fs = path(made[0]).getFileSystem(spark._jsc.hadoopConfiguration())
+        return [m for m in made if fs.exists(path(m))]
+
+    docs = spark.createDataFrame([(i, f"one two three four five six number{i % 3}") for i in range(9)], "doc_id long, text string")
+    with common.scratch(spark):
+        join = near_dedup._Join(docs, 5, 75)
+        kept = [spark.read.parquet(m).columns for m in there() if "llm-signatures-" in m]
+        assert kept == [["doc_id", "text_key", "n_shingles", "cls"]]
+        with common.scratch(spark):
+            sets = join.full_sets(join.classes.select("cls"))
+            assert not [m for m in there() if "llm-wanted-" in m]
+            assert sets.count() == 3
+
+
+def test_shuffles_of_a_scope_go_when_it_ends(spark):
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+        found = set()
+        while files.hasNext():
+            found.add(files.next().getName())
+        return {f for f in found if f.startswith("shuffle_")}
+
+    before = shuffles()
+    with common.scratch(spark):
+        common.keep(spark.range(0, 20000, 1, 2).repartition(3, "id"), "rows")
+        own = shuffles() - before
+        assert own
+    deadline = time.time() + 5
+    while own & shuffles() and time.time() < deadline:
+        time.sleep(0.1)
+    assert not own & shuffles()
